@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annuary.llm import language
+from annuary.llm import language, leakage
 from annuary.session import read_table
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_passages(spark, d).select("doc_id", "item_id")
+
+
+def p9_passages(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return language.relabelled(read_table(spark, d, "documents")).select("doc_id", "stretch_no", "lang")
 
@@ -17,6 +25,8 @@ def p10_stretches(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p9_found": p9_found,
+    "p9_passages": p9_passages,
     "p10_found": p10_found,
     "p10_stretches": p10_stretches,
 }
