@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annuary.llm import language, leakage
+from annuary.llm import canonical, language, leakage
 from annuary.session import read_table
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.mapped_values(
+        spark, read_table(spark, d, "institution_locations_1927"), read_table(spark, d, "scientist_profiles"), read_table(spark, d, "canonical_list")
+    )
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_passages(spark, d).select("doc_id", "item_id")
 
@@ -25,6 +31,7 @@ def p10_stretches(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p5_found": p5_found,
     "p9_found": p9_found,
     "p9_passages": p9_passages,
     "p10_found": p10_found,
