@@ -34,12 +34,14 @@ NO_LABEL = ["", "und", "unknown", "none", "null", "n/a", "mul", "zxx"]
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Documents per label that the model is fitted on, in expectation: the bound of the sample.
-SAMPLE_PER_LABEL = 800
+SAMPLE_PER_LABEL = 400
 EM_ROUNDS = 3
 #: Natural-log cost of one change of language between sentences.
 SWITCH_COST = 14.0
 #: Longer runs of letters are cut, so that one lattice stays small; a cut costs a word boundary, nothing is lost.
 MAX_WORD = 32
+#: Words whose lattices are worked on together; bounds memory only.
+WORDS_AT_ONCE = 4_000
 #: Words whose scores a task keeps at hand; bounds memory only.
 CACHE_WORDS = 200_000
 
@@ -167,18 +169,17 @@ def fit(counts: dict[str, dict[str, int]], vocabulary: list[str], rounds: int =
     p = np.repeat((0.02 ** (1 / size))[:, None], len(LANGUAGES), axis=1)
     p[-1] = 1e-6
     p /= p.sum(axis=0)
-    if words:
-        lattice = build_lattice(words, index, longest)
-        word_of = lattice.start // lattice.width
-        for _ in range(rounds):
+    blocks = [range(i, min(i + WORDS_AT_ONCE, len(words))) for i in range(0, len(words), WORDS_AT_ONCE)]
+    lattices = [build_lattice([words[i] for i in b], index, longest) for b in blocks]
+    for _ in range(rounds if words else 0):
+        n = np.full_like(p, 0.05)
+        for block, lattice in zip(blocks, lattices, strict=True):
+            word_of = lattice.start // lattice.width
             alpha, beta = forward(lattice, p), backward(lattice, p)
-            total = np.maximum(alpha[lattice.final], 1e-290)
-            expected = alpha[lattice.start] * p[lattice.piece] * beta[lattice.stop] / total[word_of] * weight[word_of]
-            n = np.zeros_like(p)
-            np.add.at(n, lattice.piece, expected)
-            n += 0.05
-            n[-1] = 0.05
-            p = n / n.sum(axis=0)
+            per_word = weight[block.start : block.stop] / np.maximum(alpha[lattice.final], 1e-290)
+            np.add.at(n, lattice.piece, alpha[lattice.start] * p[lattice.piece] * beta[lattice.stop] * per_word[word_of])
+        n[-1] = 0.05
+        p = n / n.sum(axis=0)
     return Model(index, p, longest)
 
 
@@ -245,8 +246,8 @@ class Tagger:
             self.table = self.table[:0]
             new = sorted(words)
         parts = [self.table]
-        for i in range(0, len(new), 20_000):
-            parts.append(self.model.score(new[i : i + 20_000]))
+        for i in range(0, len(new), WORDS_AT_ONCE):
+            parts.append(self.model.score(new[i : i + WORDS_AT_ONCE]))
         for w in new:
             self.at[w] = len(self.at)
         self.table = np.concatenate(parts)
