@@ -121,7 +121,10 @@ class PlainIndex:
         for d, found, entries in self.tree.within(key, LIMIT):
             if not near_enough(key, found, d):
                 continue
-            for ref_id, _, state, country in entries:
+            for ref_id, entry, state, country in entries:
+                # A short other name is too easily reached from a different word.
+                if d and len(found) < 8 and found != self.form(entry):
+                    continue
                 rank = (d, disagreement(context, state, country), ref_id)
                 best = rank if best is None or rank < best else best
         return best
@@ -143,7 +146,7 @@ class OrganisationIndex:
     def __init__(self, entries: list[tuple]) -> None:
         parsed = [(e, parse(e[1])) for e in entries]
         self.entries = [(e, p) for e, p in parsed if p is not None]
-        self.stems = BKTree((p.stem, (e, p)) for e, p in self.entries)
+        self.stems = BKTree((key, (e, p)) for e, p in self.entries for key in {p.stem, without_head(p.stem)})
         self.beginnings: dict[int, BKTree] = {}
         self.initials: dict[str, list[tuple]] = {}
         for e, p in self.entries:
@@ -170,7 +173,8 @@ class OrganisationIndex:
         for d, (ref_id, _, state, country), q in found:
             if p.kind != q.kind and p.kind and not p.initials:
                 continue
-            if q.stem.split()[0] != p.stem.split()[0] and {q.stem.split()[0], p.stem.split()[0]} & {"north", "south", "east", "west"} if p.stem else False:
+            # Only a bare stem may have lost the direction before it.
+            if p.stem and head_of(p.stem) != head_of(q.stem) and (p.kind or head_of(p.stem)):
                 continue
             off = disagreement(context, state, country)
             if p.initials and off:
@@ -180,6 +184,15 @@ class OrganisationIndex:
         return best
 
 
+def head_of(stem: str) -> str:
+    first = stem.split()[0] if " " in stem else ""
+    return first if first in PREFIX_WORDS else ""
+
+
+def without_head(stem: str) -> str:
+    return stem.split(" ", 1)[1] if head_of(stem) else stem
+
+
 def initials_of(stem: str, kind: str) -> str:
     return "".join(sorted(w[0] for w in f"{stem} {kind}".split()))
 

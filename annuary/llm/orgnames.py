@@ -143,15 +143,14 @@ def parse(text: str | None) -> OrgName | None:
                 kinds.add(k)
             else:
                 here.append(w)
-                cut = re.search(rf"\b{w}\.", segment) is not None and len(w) < 8
+                # A full stop inside the string ends an abbreviation; the last one may just end the string.
+                cut = re.search(rf"\b{w}\.", segment) is not None and (len(w) < 8 or not flat.endswith(f"{w}."))
         if any(w not in PREFIX_WORDS for w in here):
             names.append((here, cut))
     if "technische" in kinds or "hochschule" in kinds:
         kinds = (kinds - {"technology", "technische"}) | {"technische", "hochschule"}
     if not names:
         return OrgName("", " ".join(sorted(kinds)), "", False, "")
-    # A lone stem abbreviation at the end of the string is only a full stop of the sentence.
     stem, cut = names[0]
-    cut = cut and not (len(names) == 1 and flat.endswith(".") and flat.rstrip(".").endswith(stem[-1]))
     town = " ".join(names[1][0]) if len(names) > 1 else ""
     return OrgName(" ".join(stem), " ".join(sorted(kinds)), town, cut, "")

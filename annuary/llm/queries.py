@@ -4,8 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annuary.llm import canonical, language, leakage
-from annuary.session import read_table
+from annuary.llm import addresses, canonical, language, leakage, names, packing
+from annuary.session import cut_lineage, read_table
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return addresses.same_location(read_table(spark, d, "scientist_profiles"), cut_lineage)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.linked_rows(read_table(spark, d, "institution_locations_1927"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -14,6 +22,10 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p8_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed_documents(read_table(spark, d, "documents"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_passages(spark, d).select("doc_id", "item_id")
 
@@ -31,7 +43,10 @@ def p10_stretches(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p4_found": p4_found,
     "p5_found": p5_found,
+    "p8_packing": p8_packing,
     "p9_found": p9_found,
     "p9_passages": p9_passages,
     "p10_found": p10_found,
