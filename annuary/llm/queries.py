@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annuary.llm import addresses, canonical, language, leakage, names, packing
+from annuary.llm import addresses, canonical, language, leakage, names, packing, survivors
 from annuary.session import cut_lineage, read_table
 
 
+def p1_survivors(spark: SparkSession, d: str) -> DataFrame:
+    profiles = read_table(spark, d, "scientist_profiles")
+    return survivors.survivors(profiles, survivors.entry_groups(profiles))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_survivors(spark, d).where("n_rows > 1").select("group_id", "name_from", "birth_from")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return addresses.same_location(read_table(spark, d, "scientist_profiles"), cut_lineage)
 
@@ -43,6 +52,8 @@ def p10_stretches(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_survivors": p1_survivors,
     "p2_found": p2_found,
     "p4_found": p4_found,
     "p5_found": p5_found,
