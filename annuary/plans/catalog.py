@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from annuary.plans import problems
+from annuary.plans import panel_queries, problems
 
-QUERIES = {**problems.QUERIES}
-ORACLE = {**problems.ORACLE}
+_MODULES = (panel_queries, problems)
+QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
+ORACLE = {name: query for m in _MODULES for name, query in m.ORACLE.items()}
