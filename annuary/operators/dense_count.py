@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annuary.session import spread
+
 #: Distinct keys that a split holds before it hands its array blocks on and starts anew; bounds memory only.
 FLUSH_KEYS = 500_000
 BLOCKS_PER_PARTITION = 4
@@ -101,7 +103,7 @@ def dense_counts(df: DataFrame, keys: dict[str, Column], count_name: str = "n")
     spark = df.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*[c.alias(name) for name, c in keys.items()])
-    typed = df.select(key.alias("k"))
+    typed = spread(df.select(key.alias("k")))
     schema: T.StructType = typed.schema["k"].dataType
     coded = typed.select(F.to_json("k").alias("key")).withColumn(
         "block", F.pmod(F.xxhash64("key"), F.lit(n_parts * BLOCKS_PER_PARTITION)).cast("int")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annuary.session import cut_lineage
+from annuary.session import cut_lineage, spread
 
 #: Spread of the records that share one root (copies of one page), for the joins along the tree.
 SALT = 8
@@ -118,7 +118,7 @@ def merkle_tables(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     JSON that is damaged or nested beyond the parser's depth, give nothing.
     """
     ok = records.where((F.col("status") == "ok") & F.col("raw_json").isNotNull()).select(F.col("record_id").cast("bigint"), "raw_json")
-    shreds = cut_lineage(ok.mapInPandas(_shred_batches, _SHREDS))
+    shreds = cut_lineage(spread(ok).mapInPandas(_shred_batches, _SHREDS))
     return (
         shreds.where("root is not null").select("record_id", "root"),
         shreds.where("node is not null").select("node", "content").dropDuplicates(["node"]),

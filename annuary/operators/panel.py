@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from annuary.functions.people import INVARIANTS, with_invariants
 from annuary.functions.spells import EDITION_YEAR, cap_spell, confirmed_range
 from annuary.functions.text import pipe_join, repair_ocr, strip
+from annuary.session import spread
 
 KINDS = {
     "deg": ("education", "degree_type", "institution", "year", "end_year", None),
@@ -74,7 +75,7 @@ def panel_years(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFrame:
 
     A profile with neither has one row whose year is null. A birth after the edition gives no row.
     """
-    spells = profiles.select("*", *[spell_array(k, edition).alias(f"_{k}") for k in KINDS])
+    spells = spread(profiles).select("*", *[spell_array(k, edition).alias(f"_{k}") for k in KINDS])
     firsts = F.array_min(F.concat(*[F.transform(F.col(f"_{k}"), lambda s: s["a"]) for k in KINDS]))
     start = F.coalesce(F.col("birth_year"), firsts)
     years = F.when(start.isNull(), F.array(F.lit(None).cast("int"))).when(start <= edition, F.sequence(start, F.lit(edition))).otherwise(F.array().cast("array<int>"))

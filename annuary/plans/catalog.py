@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from annuary.plans import panel_queries, problems
+from annuary.plans import bridge_queries, panel_queries, problems
 
-_MODULES = (panel_queries, problems)
+_MODULES = (panel_queries, bridge_queries, problems)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: query for m in _MODULES for name, query in m.ORACLE.items()}
