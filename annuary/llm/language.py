@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annuary.session import spread
+
 LANGUAGES = ("en", "de", "fr", "es", "it", "nl", "pt")
 #: Spellings of language labels, lower case, without region.
 LABELS = {
@@ -324,7 +326,7 @@ def stretches(documents: DataFrame, vocabulary: str = VOCABULARY, per_label: int
                         rows.append((doc, label, 1, 1, 0, "und", 0.0, 0, 0))
             yield pd.DataFrame(rows, columns=names)
 
-    chosen = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), label_code(F.col("lang")).alias("label"), "text")
+    chosen = spread(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), label_code(F.col("lang")).alias("label"), "text"))
     return chosen.mapInPandas(tag, _STRETCH)
 
 

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annuary.session import spread
+
 WINDOW = 16
 ERROR_RATE = 8
 SEED = 3
@@ -262,7 +264,7 @@ def corpus_counts(documents: DataFrame, items: Items) -> np.ndarray:
         yield pd.DataFrame({"gram": some, "n": sums[some]})
 
     out = np.zeros(len(items.grams), dtype=np.int64)
-    for r in documents.select("text").mapInPandas(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+    for r in spread(documents.select("text")).mapInPandas(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect():
         out[r["gram"]] = r["n"]
     return out
 
@@ -279,7 +281,7 @@ def leaks(documents: DataFrame, items: DataFrame, words_per_pass: int = WORDS_PE
     """
     spark = documents.sparkSession
     out = spark.createDataFrame([], _LEAK)
-    chosen = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    chosen = spread(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
     for block in item_blocks(items, words_per_pass):
         indexed = index_items(block)
         if not indexed.ids:

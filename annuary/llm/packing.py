@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annuary.session import cut_lineage
+from annuary.session import cut_lineage, spread
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CAPACITY = 2048
@@ -91,7 +91,7 @@ def measured(documents: DataFrame, vocabulary: str = VOCABULARY, dimensions: int
             cells = ((np.tanh(vectors / 3) + 1) / 2 * ((1 << bits) - 1)).round().astype(np.int64)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": sizes, "place": hilbert(cells, bits)})
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(measure, "doc_id bigint, n_tokens bigint, place bigint")
+    return spread(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).mapInPandas(measure, "doc_id bigint, n_tokens bigint, place bigint")
 
 
 class Packer:
