@@ -40,13 +40,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df once to the reliable checkpoint folder, so that several readers share one computation.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable folder that all executors share.
 
-    The folder is spark.checkpoint.dir of the session. Only a session that names none (a local test)
-    gets a folder of its own.
+    It is spark.checkpoint.dir of the session. Only a local session that names none (a test) gets a folder of
+    its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -55,6 +54,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             folder = os.path.join(tempfile.gettempdir(), "annuary-checkpoints")
         context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write df once to the reliable checkpoint folder, so that several readers share one computation."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
