@@ -75,12 +75,13 @@ def panel_years(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFrame:
 
     A profile with neither has one row whose year is null. A birth after the edition gives no row.
     """
-    spells = spread(profiles).select("*", *[spell_array(k, edition).alias(f"_{k}") for k in KINDS])
+    known = [c for c in profiles.columns if c in {"profile_id", "pos", "birth_year", *INVARIANTS}]
+    spells = spread(profiles).select(*known, *[spell_array(k, edition).alias(f"_{k}") for k in KINDS])
     firsts = F.array_min(F.concat(*[F.transform(F.col(f"_{k}"), lambda s: s["a"]) for k in KINDS]))
     start = F.coalesce(F.col("birth_year"), firsts)
     years = F.when(start.isNull(), F.array(F.lit(None).cast("int"))).when(start <= edition, F.sequence(start, F.lit(edition))).otherwise(F.array().cast("array<int>"))
-    spread = spells.withColumn("year", F.explode(years))
-    return spread.select("*", *[F.when(F.col("year").isNotNull(), slots_of_year(F.col(f"_{k}"), k, F.col("year"))).otherwise(F.array().cast(spread.schema[f"_{k}"].dataType)).alias(k) for k in KINDS]).drop(
+    dated = spells.withColumn("year", F.explode(years))
+    return dated.select("*", *[F.when(F.col("year").isNotNull(), slots_of_year(F.col(f"_{k}"), k, F.col("year"))).otherwise(F.array().cast(dated.schema[f"_{k}"].dataType)).alias(k) for k in KINDS]).drop(
         *[f"_{k}" for k in KINDS]
     )
 

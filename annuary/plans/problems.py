@@ -129,7 +129,24 @@ with spells as (
 )
 """
 
+_WHOLE = r"""
+j as (select record_id, case when json_valid(raw_json) then cast(raw_json as json) end as j from page_records where status = 'ok'),
+t as (select record_id, j, nullif(regexp_extract(array_to_string(list_transform(list_filter(json_extract(j, '$.response.body.output[*].content[*]'),
+   lambda p: p->>'$.type' = 'output_text'), lambda p: coalesce(p->>'$.text', '')), ''), '(?s)\{.*\}', 0), '') as part from j),
+pages as (select record_id, case when json_type(j, '$.response') is null then j when json_valid(part) then cast(part as json) end as page from t),
+lists as (select record_id, case json_type(page, '$.scientists') when 'ARRAY' then json_extract(page, '$.scientists[*]') when 'OBJECT' then [json_extract(page, '$.scientists')] end as l from pages),
+scientists as (select record_id, i - 1 as scientist_pos, l[i] as s from (select record_id, l, unnest(range(1, len(l) + 1)) as i from lists)),
+named as (select record_id, scientist_pos, n as list_name, json_extract(s, '$.' || n) as v from scientists, (values ('education'), ('employment'), ('minor_positions'), ('societies')) x(n) where json_type(s) = 'OBJECT'),
+boxed as (select record_id, scientist_pos, list_name, case json_type(v) when 'ARRAY' then json_extract(v, '$[*]') when 'NULL' then [] else [v] end as l from named where v is not null),
+items as (select record_id, scientist_pos, list_name, i - 1 as item_pos, l[i] as item from (select *, unnest(range(1, len(l) + 1)) as i from boxed) where json_type(l[i]) <> 'NULL')"""
+
 ORACLE = {
+    "p6_found": f"with {_WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, list_name, cast(item_pos as int) as item_pos from items",
+    "p6_education": f"""with {_WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, cast(item_pos as int) as item_pos,
+ case when json_type(item) = 'OBJECT' then item->>'$.degree_type' else item->>'$' end as degree_type, item->>'$.institution' as institution, item->>'$.year' as year, item->>'$.end_year' as end_year
+from items where list_name = 'education'""",
+    "p6_societies": f"""with {_WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, cast(item_pos as int) as item_pos,
+ case when json_type(item) = 'OBJECT' then item->>'$.name' else item->>'$' end as name, item->>'$.since' as since from items where list_name = 'societies'""",
     "p3_found": f"""select bridge_id from institution_locations_1927 b left join ({_COUNTS}) e using (shard, institution)
 where b.n_events is null or b.n_events <> coalesce(e.n_rows, 0)""",
     "p3_counts": _COUNTS,
