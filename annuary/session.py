@@ -40,6 +40,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def fan_out(df: DataFrame, *keys: str) -> DataFrame:
+    """df over as many partitions as shuffles have (and cores there are), for work that is heavy per row.
+
+    Rows that are few in bytes would otherwise be joined into one partition; a stated number is kept.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The reliable folder that all executors share.
 
