@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from annuary.llm.bktree import BKTree
 from annuary.llm.orgnames import PREFIX_WORDS, fold, parse
+from annuary.session import fan_out
 
 #: Entries of one shard of the reference list; each shard is broadcast, so this bounds the broadcast.
 SHARD_ENTRIES = 100_000
@@ -112,22 +114,15 @@ class PlainIndex:
         self.form = form
         self.tree = BKTree((key, e) for e in entries for key in (keys(e[1]) if keys else [form(e[1])]))
 
-    def search(self, value: str, context: tuple) -> tuple[int, int, int] | None:
-        """(distance, disagreement with the context, ref_id) of the best entry."""
+    def candidates(self, value: str) -> list[tuple]:
+        """(distance, entry) of every entry that is near enough."""
         key = self.form(value)
-        if not key:
-            return None
-        best = None
-        for d, found, entries in self.tree.within(key, LIMIT):
-            if not near_enough(key, found, d):
-                continue
-            for ref_id, entry, state, country in entries:
+        out = []
+        for d, found, entries in self.tree.within(key, LIMIT) if key else ():
+            if near_enough(key, found, d):
                 # A short other name is too easily reached from a different word.
-                if d and len(found) < 8 and found != self.form(entry):
-                    continue
-                rank = (d, disagreement(context, state, country), ref_id)
-                best = rank if best is None or rank < best else best
-        return best
+                out += [(d, e) for e in entries if not d or len(found) >= 8 or found == self.form(e[1])]
+        return out
 
 
 def disagreement(context: tuple, state: str | None, country: str | None) -> int:
@@ -157,31 +152,19 @@ class OrganisationIndex:
             self.beginnings[n] = BKTree((p.stem[:n], (e, p)) for e, p in self.entries if len(p.stem) > n)
         return self.beginnings[n]
 
-    def search(self, value: str, context: tuple) -> tuple[int, int, int] | None:
+    def candidates(self, value: str) -> list[tuple]:
+        """(distance, entry) of every entry that is near enough and of the same kind."""
         p = parse(value)
-        if p is None:
-            return None
+        if p is None or not (p.stem or p.initials):
+            return []
         if p.initials:
-            found = [(0, e, q) for e, q in self.initials.get("".join(sorted(p.initials)), [])]
-        elif not p.stem:
-            return None
-        else:
-            found = [(d, e, q) for d, k, v in self.stems.within(p.stem, LIMIT) if near_enough(p.stem, k, d) for e, q in v]
-            if p.cut:
-                found += [(d, e, q) for d, k, v in self._cut_tree(len(p.stem)).within(p.stem, 1) for e, q in v]
-        best = None
-        for d, (ref_id, _, state, country), q in found:
-            if p.kind != q.kind and p.kind and not p.initials:
-                continue
-            # Only a bare stem may have lost the direction before it.
-            if p.stem and head_of(p.stem) != head_of(q.stem) and (p.kind or head_of(p.stem)):
-                continue
-            off = disagreement(context, state, country)
-            if p.initials and off:
-                continue
-            rank = (d, off, ref_id)
-            best = rank if best is None or rank < best else best
-        return best
+            # Initials say little, so only an entry whose place agrees will do.
+            return [(-1, e) for e, _ in self.initials.get("".join(sorted(p.initials)), [])]
+        found = [(d, e, q) for d, k, v in self.stems.within(p.stem, LIMIT) if near_enough(p.stem, k, d) for e, q in v]
+        if p.cut:
+            found += [(d, e, q) for d, k, v in self._cut_tree(len(p.stem)).within(p.stem, 1) for e, q in v]
+        # Only a bare stem may have lost its kind words, or the direction before it.
+        return [(d, e) for d, e, q in found if (not p.kind or p.kind == q.kind) and (head_of(p.stem) == head_of(q.stem) or not (p.kind or head_of(p.stem)))]
 
 
 def head_of(stem: str) -> str:
@@ -197,6 +180,12 @@ def initials_of(stem: str, kind: str) -> str:
     return "".join(sorted(w[0] for w in f"{stem} {kind}".split()))
 
 
+def choose(candidates: list[tuple], context: tuple) -> tuple[int, int, int] | None:
+    """(distance, disagreement with the context, ref_id) of the best candidate."""
+    ranks = [(d, disagreement(context, e[2], e[3]), e[0]) for d, e in candidates]
+    return min((r for r in ranks if r[0] >= 0 or not r[1]), default=None)
+
+
 def build_index(list_name: str, entries: list[tuple]):
     if list_name == "institution":
         return OrganisationIndex(entries)
@@ -227,7 +216,8 @@ def map_values(values: DataFrame, canonical: DataFrame, list_name: str) -> DataF
     entries that are equally near. Ties that remain go to the smallest ref_id. Null and blank values must have
     been taken out; an empty list gives 0 for every value.
     """
-    distinct = values.select("value", "c1", "c2").distinct()
+    # The lookup is heavy per value, and a value beside several places should be looked up by one task.
+    distinct = fan_out(values.select("value", "c1", "c2").distinct(), "value")
     spark = values.sparkSession
     hits = None
     for block in shards(canonical, list_name):
@@ -236,10 +226,11 @@ def map_values(values: DataFrame, canonical: DataFrame, list_name: str) -> DataF
         def look(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             index = build_index(list_name, shared.value)
             names = [x.split()[0] for x in _HIT.split(", ")]
+            near = lru_cache(maxsize=50_000)(index.candidates)
             for batch in batches:
                 rows = []
                 for value, c1, c2 in zip(batch["value"], batch["c1"], batch["c2"], strict=True):
-                    found = index.search(value, (None, c1, c2))
+                    found = choose(near(value), (None, c1, c2))
                     if found:
                         rows.append((value, c1, c2, *found))
                 yield pd.DataFrame(rows, columns=names)
