@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annuary.llm.bktree import BKTree
-from annuary.llm.orgnames import PREFIX_WORDS, fold, parse
+from annuary.llm.orgnames import EMPTY_WORDS, PREFIX_WORDS, fold, parse
 from annuary.session import fan_out
 
 #: Entries of one shard of the reference list; each shard is broadcast, so this bounds the broadcast.
@@ -101,10 +101,15 @@ def near_enough(a: str, b: str, d: int) -> bool:
     n = min(len(a), len(b))
     if d <= (0 if n <= 3 else 1 if n <= 6 else LIMIT):
         return True
-    if d == 2 and len(a) == len(b) and n > 3:
-        off = [i for i in range(n) if a[i] != b[i]]
-        return len(off) == 2 and off[1] == off[0] + 1 and a[off[0]] == b[off[1]] and a[off[1]] == b[off[0]]
-    return False
+    return d == 2 and n > 3 and swapped(a, b)
+
+
+def swapped(a: str, b: str) -> bool:
+    """Whether two neighbouring letters changed places."""
+    if len(a) != len(b):
+        return False
+    off = [i for i in range(len(a)) if a[i] != b[i]]
+    return len(off) == 2 and off[1] == off[0] + 1 and a[off[0]] == b[off[1]] and a[off[1]] == b[off[0]]
 
 
 class PlainIndex:
@@ -115,13 +120,13 @@ class PlainIndex:
         self.tree = BKTree((key, e) for e in entries for key in (keys(e[1]) if keys else [form(e[1])]))
 
     def candidates(self, value: str) -> list[tuple]:
-        """(distance, entry) of every entry that is near enough."""
+        """(distance, entry, False) of every entry that is near enough."""
         key = self.form(value)
         out = []
         for d, found, entries in self.tree.within(key, LIMIT) if key else ():
             if near_enough(key, found, d):
                 # A short other name is too easily reached from a different word.
-                out += [(d, e) for e in entries if not d or len(found) >= 8 or found == self.form(e[1])]
+                out += [(d, e, False) for e in entries if not d or len(found) >= 8 or found == self.form(e[1])]
         return out
 
 
@@ -144,8 +149,8 @@ class OrganisationIndex:
         self.stems = BKTree((key, (e, p)) for e, p in self.entries for key in {p.stem, without_head(p.stem)})
         self.beginnings: dict[int, BKTree] = {}
         self.initials: dict[str, list[tuple]] = {}
-        for e, p in self.entries:
-            self.initials.setdefault(initials_of(p.stem, p.kind), []).append((e, p))
+        for e, _ in self.entries:
+            self.initials.setdefault(initials_of(e[1]), []).append(e)
 
     def _cut_tree(self, n: int) -> BKTree:
         if n not in self.beginnings:
@@ -153,18 +158,27 @@ class OrganisationIndex:
         return self.beginnings[n]
 
     def candidates(self, value: str) -> list[tuple]:
-        """(distance, entry) of every entry that is near enough and of the same kind."""
+        """(distance, entry, whether the place must agree) of every entry that is near enough and of the same kind.
+
+        The distance counts an 'of' more or less in the name of a university as a quarter.
+        """
         p = parse(value)
         if p is None or not (p.stem or p.initials):
             return []
         if p.initials:
-            # Initials say little, so only an entry whose place agrees will do.
-            return [(-1, e) for e, _ in self.initials.get("".join(sorted(p.initials)), [])]
-        found = [(d, e, q) for d, k, v in self.stems.within(p.stem, LIMIT) if near_enough(p.stem, k, d) for e, q in v]
+            # Where several entries have the initials, only one whose place agrees will do.
+            found = self.initials.get(p.initials, [])
+            return [(0, e, len(found) > 1) for e in found]
+        # A bare stem two edits away, or the beginning of one with an edit, could well be another name.
+        found = [(d, e, q, d == LIMIT and not p.kind and not swapped(p.stem, k)) for d, k, v in self.stems.within(p.stem, LIMIT) if near_enough(p.stem, k, d) for e, q in v]
         if p.cut:
-            found += [(d, e, q) for d, k, v in self._cut_tree(len(p.stem)).within(p.stem, 1) for e, q in v]
+            found += [(d, e, q, d > 0) for d, k, v in self._cut_tree(len(p.stem)).within(p.stem, 1) for e, q in v]
         # Only a bare stem may have lost its kind words, or the direction before it.
-        return [(d, e) for d, e, q in found if (not p.kind or p.kind == q.kind) and (head_of(p.stem) == head_of(q.stem) or not (p.kind or head_of(p.stem)))]
+        return [
+            (d + (0.25 if p.kind and p.of != q.of else 0), e, place)
+            for d, e, q, place in found
+            if (not p.kind or p.kind == q.kind) and (head_of(p.stem) == head_of(q.stem) or not (p.kind or head_of(p.stem)))
+        ]
 
 
 def head_of(stem: str) -> str:
@@ -176,14 +190,18 @@ def without_head(stem: str) -> str:
     return stem.split(" ", 1)[1] if head_of(stem) else stem
 
 
-def initials_of(stem: str, kind: str) -> str:
-    return "".join(sorted(w[0] for w in f"{stem} {kind}".split()))
+def initials_of(name: str) -> str:
+    return "".join(w[0] for w in re.findall(r"[^\W_]+", fold(name)) if w not in EMPTY_WORDS)
 
 
 def choose(candidates: list[tuple], context: tuple) -> tuple[int, int, int] | None:
-    """(distance, disagreement with the context, ref_id) of the best candidate."""
-    ranks = [(d, disagreement(context, e[2], e[3]), e[0]) for d, e in candidates]
-    return min((r for r in ranks if r[0] >= 0 or not r[1]), default=None)
+    """(distance, disagreement with the context, ref_id) of the best candidate.
+
+    A candidate whose place must agree counts only if the row's state, or else its country, is known.
+    """
+    ranks = [(d, disagreement(context, e[2], e[3]), e[0], place) for d, e, place in candidates]
+    known = bool(context[1] or context[2])
+    return min((r[:3] for r in ranks if not r[3] or (known and not r[1])), default=None)
 
 
 def build_index(list_name: str, entries: list[tuple]):
@@ -206,7 +224,7 @@ def shards(canonical: DataFrame, list_name: str, size: int = SHARD_ENTRIES) -> I
         yield block
 
 
-_HIT = "value string, c1 string, c2 string, distance int, off int, ref_id bigint"
+_HIT = "value string, c1 string, c2 string, distance double, off int, ref_id bigint"
 
 
 def map_values(values: DataFrame, canonical: DataFrame, list_name: str) -> DataFrame:

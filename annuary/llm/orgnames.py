@@ -53,6 +53,8 @@ NO_ORGANISATION = {
     "travel", "retired", "at home", "home", "private business", "consulting practice", "practice", "independent", "not given", "see notes",
     "n a", "various places", "various firms", "private work", "government service", "war service", "army", "navy", "self", "freelance",
 }
+#: Entries in place of a town that name none.
+NO_PLACE = {"unknown", "several", "various places", "various", "see notes", "n a", "none", "at sea"}
 #: Last words of phrases that describe an occupation instead of an organisation.
 OCCUPATION_ENDS = {"practice", "work", "companies", "firms", "business", "ranching", "farming", "travel", "study", "abroad", "war", "places", "consulting", "publishing", "mining", "teaching", "lecturing", "writing", "research"}
 
@@ -109,6 +111,7 @@ class OrgName:
     town: str  # what follows the name in a segment of its own
     cut: bool  # the stem is an abbreviation that ends in a full stop
     initials: str  # letters, when the whole string is an abbreviation such as K.S.C.
+    of: bool = False  # 'University of X', which need not be 'X University'
 
 
 def parse(text: str | None) -> OrgName | None:
@@ -153,4 +156,5 @@ def parse(text: str | None) -> OrgName | None:
         return OrgName("", " ".join(sorted(kinds)), "", False, "")
     stem, cut = names[0]
     town = " ".join(names[1][0]) if len(names) > 1 else ""
-    return OrgName(" ".join(stem), " ".join(sorted(kinds)), town, cut, "")
+    of = "university" in kinds and re.search(r"\b(univ\w*|u)\b\.?,? (of|de)\b", flat) is not None
+    return OrgName(" ".join(stem), " ".join(sorted(kinds)), town, cut, "", of)
