@@ -25,6 +25,18 @@ def request_id(page: Column) -> Column:
     return F.format_string("page-%05d", page)
 
 
+def request_lines(pages: DataFrame, model: str, effort: str) -> DataFrame:
+    """(page, line): the JSON request of every page, with the page after it as look-ahead.
+
+    The page after is the next number; whether it exists is known from the pages themselves.
+    """
+    own = pages.select("page").distinct()
+    following = own.select((F.col("page") - 1).alias("page"), F.col("page").alias("look_ahead"))
+    body = F.struct(F.lit(model).alias("model"), F.lit(effort).alias("effort"), F.array_compact(F.array("page", "look_ahead")).alias("pages"))
+    rows = own.join(following, "page", "left")
+    return rows.select("page", F.to_json(F.struct(request_id(F.col("page")).alias("custom_id"), F.lit("POST").alias("method"), body.alias("body"))).alias("line"))
+
+
 def page_of_request(custom_id: Column) -> Column:
     return F.substring_index(custom_id, "-", -1).try_cast("int")
 

@@ -231,3 +231,12 @@ def flags_of_profiles(profiles: DataFrame, findings: DataFrame) -> DataFrame:
     joined = p.withColumn("k", key(F.col("name"))).join(f.withColumn("k", key(F.col("scientist"))), ["page", "k"])
     hit = (F.col("name") == F.col("scientist")) | (strip(F.substring_index("name", ",", 1)) == F.col("scientist")) | F.col("name").startswith(F.col("scientist"))
     return joined.where(hit).select("profile_id", "flag")
+
+
+def of_severity(findings: DataFrame, severity: str = "all") -> DataFrame:
+    """The findings of one severity, or all."""
+    return findings if severity == "all" else findings.where(F.col("severity") == severity)
+
+
+def ordered(findings: DataFrame) -> DataFrame:
+    return findings.orderBy("page", "code", "scientist", "detail")

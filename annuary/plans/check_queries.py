@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annuary import api
 from annuary.functions.text import strip
 from annuary.operators import checks, ocr, review
 from annuary.plans import sql
@@ -104,11 +105,20 @@ def subtractive_repair(spark, d):
     return ocr.repair_birth_fields(_profiles(spark, d), _page_text(spark, d)).select("profile_id", "birth_place", "birth_date", "birth_year", "repair_note")
 
 
+def omissions(spark, d):
+    return ocr.page_omissions(_profiles(spark, d), _page_text(spark, d), checks.alpha_window(_profiles(spark, d)))
+
+
+def quality_run(spark, d):
+    """All rules with repair and text layer first, counted by code."""
+    return checks.findings_report(api.run_checks(_profiles(spark, d), _page_text(spark, d)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         profile_checks, out_of_order, page_overlap, alpha_window, duplicate_entities, median_yield, star_mismatch, findings_report, suspect_pages, top8_per_code,
-        findings_flags, review_view, position_lines, group_break, dedupe_first, printed_count, entry_candidates, printed_headings, text_layer_checks, subtractive_repair,
+        findings_flags, review_view, position_lines, group_break, dedupe_first, printed_count, entry_candidates, printed_headings, text_layer_checks, subtractive_repair, omissions, quality_run,
     )
 }
 

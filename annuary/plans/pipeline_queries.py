@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annuary import api
 from annuary.operators import batch, ocr, publish, resolve
 from annuary.plans import bridge_queries, panel_queries, sql
 from annuary.session import read_table
@@ -51,6 +52,16 @@ def request_ids(spark, d):
     return r.withColumn("page", batch.page_of_request(F.col("custom_id")))
 
 
+def request_lines(spark, d):
+    return batch.request_lines(_profiles(spark, d).select(F.col("source_page").alias("page")), "small", "low")
+
+
+def merged_profiles(spark, d):
+    """What the union of passes leaves, repaired: profile_id, place in print and birth fields."""
+    out = api.merged_profiles(_profiles(spark, d), ocr.page_text(read_table(spark, d, "documents")))
+    return out.select("profile_id", "source_page", "pos", "full_name", "birth_date", "birth_year", "repair_note")
+
+
 def cost_rollup(spark, d):
     usage = F.from_json("raw_json", batch.ENVELOPE)["usage"]
     models = F.array(*[F.lit(m) for m in [*batch.RATES, "other"]])
@@ -117,7 +128,7 @@ def stream_event_windows(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        completed_pages, anti_remaining, batch_outcomes, batch_texts, dead_letters, batch_progress, request_ids, cost_rollup, shard_pack, fuzzy_pass_merge,
+        completed_pages, anti_remaining, batch_outcomes, batch_texts, dead_letters, batch_progress, request_ids, request_lines, merged_profiles, cost_rollup, shard_pack, fuzzy_pass_merge,
         fuzzy_pass_merge_confirmed, richness, close_match, release_events, release_book_order, headline_stats, codebook, stream_repage, stream_event_windows,
     )
 }
@@ -147,6 +158,9 @@ ORACLE = {
     "dead_letters": f"select record_id, page, outcome, refusal from ({_DECODED}) where outcome <> 'ok'",
     "batch_progress": f"select printf('%d/%d done, %d failed', cast(sum((outcome = 'ok')::int) as bigint), count(*), count(*) - cast(sum((outcome = 'ok')::int) as bigint)) as progress from ({_DECODED})",
     "request_ids": "select record_id, printf('page-%05d', focus_page_number) as custom_id, focus_page_number as page from page_records",
+    "request_lines": """with p as (select distinct source_page as page from scientist_profiles)
+select a.page, '{"custom_id":"' || printf('page-%05d', a.page) || '","method":"POST","body":{"model":"small","effort":"low","pages":[' || a.page || case when b.page is not null then ',' || b.page else '' end || ']}}' as line
+from p a left join p b on b.page = a.page + 1""",
     "cost_rollup": f"""select model, count(*) as n_calls, cast(sum(input_tokens) as bigint) as input_tokens, cast(sum(output_tokens) as bigint) as output_tokens, round(sum(usd), 4) as usd, round(avg(usd), 4) as usd_per_call, round(avg(usd) * 1110, 2) as usd_all
 from (select *, cast({_RATE} as double) as usd from (select {_MODELS}[record_id % 4 + 1] as model, cast(j->>'$.usage.input_tokens' as bigint) as input_tokens, cast(j->>'$.usage.cached_input_tokens' as bigint) as cached_tokens,
  cast(j->>'$.usage.output_tokens' as bigint) as output_tokens, record_id % 2 = 0 as batch

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import json
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,3 +90,29 @@ def export_single_file(df: DataFrame, path: str, sep: str = ",") -> int:
             writer.writerow(["" if v is None else v for v in row])
             n += 1
     return n
+
+
+def write_failures(dead_letters: DataFrame, path: str) -> None:
+    """Failed calls as lines of tab-separated text, added to those that are there."""
+    dead_letters.write.mode("append").option("sep", "\t").csv(path)
+
+
+def save_state(state: dict, path: str) -> None:
+    """A small manifest of submitted and harvested batches; the old one stays until the new one is whole."""
+    with open(path + ".new", "w", encoding="utf-8") as out:
+        json.dump(state, out, indent=1)
+    os.replace(path + ".new", path)
+
+
+def load_state(path: str) -> dict:
+    """The manifest; a missing one is an error, since nothing was submitted then."""
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"no batch was submitted: {path} is missing")
+    with open(path, encoding="utf-8") as lines:
+        return json.load(lines)
+
+
+def harvested(state: dict, batch: str) -> dict:
+    """The state with one batch marked as read; marking it again changes nothing."""
+    done = state.get("harvested", [])
+    return state | {"harvested": done if batch in done else [*done, batch]}
