@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from annuary.llm.canonical import plain_city
 from annuary.llm.orgnames import NO_PLACE, PREFIX_WORDS, parse
-from annuary.session import cut_lineage
+from annuary.session import cut_lineage, fan_out
 
 #: Edits between two spellings of one stem.
 K = 2
@@ -46,7 +46,7 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def spellings(bridge: DataFrame) -> DataFrame:
     """Rows that name an organisation: bridge_id, shard, n_events and the parts of the name, with the spelling's number."""
     rows = bridge.select(F.col("bridge_id").cast("bigint").alias("bridge_id"), "shard", "institution", "city", F.coalesce("n_events", F.lit(0)).alias("n_events"))
-    parsed = rows.select("institution", "city").where("institution is not null").distinct().mapInPandas(_parse_batches, _PARTS)
+    parsed = fan_out(rows.select("institution", "city").where("institution is not null").distinct()).mapInPandas(_parse_batches, _PARTS)
     named = rows.alias("r").join(parsed.alias("p"), (F.col("r.institution") == F.col("p.institution")) & F.col("r.city").eqNullSafe(F.col("p.city")))
     return named.select("bridge_id", "shard", "n_events", "stem", "head", "kind", "of", "cut", "initials", "town").withColumn(
         "node", F.xxhash64("shard", "stem", "head", "kind", "of", "cut", "initials")
