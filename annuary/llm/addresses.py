@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from annuary.llm.canonical import plain_city
 from annuary.llm.orgnames import KIND_WORDS, PREFIX_WORDS, edit_distance, fold
+from annuary.session import fan_out
 
 #: Kinds of streets and their short forms.
 STREET_KINDS = {
@@ -269,7 +270,7 @@ def _verify_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def located(rows: DataFrame) -> DataFrame:
     """Distinct (mailing_address, mailing_city) with components, tokens and a place number for equal components."""
     texts = rows.where(F.col("mailing_address").rlike(r"(?U)\S")).select("mailing_address", "mailing_city").distinct()
-    return texts.mapInPandas(_parse_batches, _PARTS).withColumn("place", F.xxhash64(*_FIELDS))
+    return fan_out(texts).mapInPandas(_parse_batches, _PARTS).withColumn("place", F.xxhash64(*_FIELDS))
 
 
 def place_links(places: DataFrame) -> DataFrame:
