@@ -125,7 +125,7 @@ def parse(text: str | None, city: str | None) -> Address | None:
     ni, nj = number_at[0] if number_at else (-1, -1)
 
     def is_name(s: list[str], j: int) -> bool:
-        return 0 <= j < len(s) and len(s[j]) >= 3 and not s[j].isdigit() and s[j] not in _DIRECTION and _street_kind(s[j]) is None and s[j] not in _PLACE_PREFIX
+        return 0 <= j < len(s) and len(s[j]) >= 3 and not s[j].isdigit() and s[j] not in _DIRECTION and s[j] not in _REGION and _street_kind(s[j]) is None and s[j] not in _PLACE_PREFIX
 
     street = kind = direction = ""
     where: tuple[int, int, int] | None = None  # segment, first word, word after the last
