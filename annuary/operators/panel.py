@@ -22,10 +22,11 @@ KINDS = {
 
 
 def spell_array(kind: str, edition: int = EDITION_YEAR) -> Column:
-    """The spells of one kind that confirm any year, in print order.
+    """The spells of one kind that confirm any year, in the order of their slots.
 
-    Array of struct<rank, start, inst, role, pos, cur, a, b>: rank 0 for a primary role flagged current, the
-    raw start or 0, the years a..b. Null items confirm nothing.
+    Array of struct<rank, start, inst, role, pos, key, ...>: the first five fields are the sort key of a slot
+    (print order for degrees; current first, then raw start and institution for jobs; start, institution and
+    role for minor positions), key tells repeated records, a..b are the years. Null items confirm nothing.
     """
     field, role, inst, start, end, current = KINDS[kind]
 
@@ -33,41 +34,42 @@ def spell_array(kind: str, edition: int = EDITION_YEAR) -> Column:
         flag = F.coalesce(x[current], F.lit(False)) if current else F.lit(False)
         name = F.coalesce(F.nullif(x[role], F.lit("")), F.lit("study")) if kind == "deg" else F.coalesce(x[role], F.lit(""))
         years = confirmed_range(x[start], x[end], flag, edition)
+        shown, place = repair_ocr(name), repair_ocr(F.coalesce(x[inst], F.lit("")))
         return F.when(
             x.isNotNull() & years.isNotNull(),
             F.named_struct(
                 F.lit("rank"), F.when(flag, 0).otherwise(1) if kind == "prim" else F.lit(0),
                 F.lit("start"), F.lit(0) if kind == "deg" else F.coalesce(x[start], F.lit(0)),
-                F.lit("inst"), F.lit("") if kind == "deg" else repair_ocr(F.coalesce(x[inst], F.lit(""))),
-                F.lit("role"), F.lit("") if kind == "deg" else repair_ocr(name),
+                F.lit("inst"), F.lit("") if kind == "deg" else place,
+                F.lit("role"), shown if kind == "par" else F.lit(""),
                 F.lit("pos"), i,
-                F.lit("show_role"), repair_ocr(name),
-                F.lit("show_inst"), repair_ocr(F.coalesce(x[inst], F.lit(""))),
+                F.lit("key"), F.concat(strip(shown), F.lit("\u0001"), strip(place)),
+                F.lit("show_role"), shown,
+                F.lit("show_inst"), place,
                 F.lit("cur"), flag,
                 F.lit("a"), years["from_year"],
                 F.lit("b"), years["to_year"],
             ),
         )
 
-    return F.filter(F.transform(F.coalesce(F.col(field), F.array()), spell), lambda s: s.isNotNull())
+    return F.array_sort(F.filter(F.transform(F.coalesce(F.col(field), F.array()), spell), lambda s: s.isNotNull()))
 
 
-def slots_of_year(spells: Column, kind: str, year: Column) -> Column:
-    """The records of one year: repeated (role, institution) dropped but the first, then put in slot order."""
+def has_repeats(spells: Column) -> Column:
+    return F.size(F.array_distinct(F.transform(spells, lambda s: s["key"]))) < F.size(spells)
+
+
+def slots_of_year(spells: Column, repeats: Column, year: Column) -> Column:
+    """The records of one year in slot order, of repeated ones the first in print.
+
+    The spells come sorted, so a year only filters them; repeats says whether there is anything to drop.
+    """
     active = F.filter(spells, lambda s: (s["a"] <= year) & (s["b"] >= year))
 
-    def key(s: Column) -> Column:
-        return F.concat(strip(s["show_role"]), F.lit("\u0001"), strip(s["show_inst"]))
+    def is_first(s: Column) -> Column:
+        return ~F.exists(spells, lambda t: (t["a"] <= year) & (t["b"] >= year) & (t["pos"] < s["pos"]) & (t["key"] == s["key"]))
 
-    keys = F.transform(active, key)
-    first = F.filter(active, lambda s, i: F.array_position(keys, key(s)) == (i + 1).cast("bigint"))
-    if kind == "prim":
-        order = F.transform(first, lambda s: F.named_struct(F.lit("k1"), s["rank"], F.lit("k2"), s["start"], F.lit("k3"), s["inst"], F.lit("k4"), F.lit(""), F.lit("k5"), s["pos"], F.lit("s"), s))
-    elif kind == "par":
-        order = F.transform(first, lambda s: F.named_struct(F.lit("k1"), F.lit(0), F.lit("k2"), s["start"], F.lit("k3"), s["inst"], F.lit("k4"), s["role"], F.lit("k5"), s["pos"], F.lit("s"), s))
-    else:
-        return first
-    return F.transform(F.array_sort(order), lambda o: o["s"])
+    return F.when(repeats, F.filter(active, is_first)).otherwise(active)
 
 
 def panel_years(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFrame:
@@ -77,12 +79,13 @@ def panel_years(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFrame:
     """
     known = [c for c in profiles.columns if c in {"profile_id", "pos", "birth_year", *INVARIANTS}]
     spells = spread(profiles).select(*known, *[spell_array(k, edition).alias(f"_{k}") for k in KINDS])
+    spells = spells.select("*", *[has_repeats(F.col(f"_{k}")).alias(f"_{k}_repeats") for k in KINDS])
     firsts = F.array_min(F.concat(*[F.transform(F.col(f"_{k}"), lambda s: s["a"]) for k in KINDS]))
     start = F.coalesce(F.col("birth_year"), firsts)
     years = F.when(start.isNull(), F.array(F.lit(None).cast("int"))).when(start <= edition, F.sequence(start, F.lit(edition))).otherwise(F.array().cast("array<int>"))
     dated = spells.withColumn("year", F.explode(years))
-    return dated.select("*", *[F.when(F.col("year").isNotNull(), slots_of_year(F.col(f"_{k}"), k, F.col("year"))).otherwise(F.array().cast(dated.schema[f"_{k}"].dataType)).alias(k) for k in KINDS]).drop(
-        *[f"_{k}" for k in KINDS]
+    return dated.select("*", *[F.when(F.col("year").isNotNull(), slots_of_year(F.col(f"_{k}"), F.col(f"_{k}_repeats"), F.col("year"))).otherwise(F.array().cast(dated.schema[f"_{k}"].dataType)).alias(k) for k in KINDS]).drop(
+        *[f"_{k}{x}" for k in KINDS for x in ("", "_repeats")]
     )
 
 
@@ -105,17 +108,13 @@ def balanced_panel(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFram
     )
 
 
-def _slot_count(kind: str):
-    return lambda year: F.size(slots_of_year(F.col("s"), kind, year))
-
-
 def max_concurrency(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFrame:
     """(kind, slots): the most records of a kind in any one year, years before the panel included, 1 at least."""
     parts = None
     for k in KINDS:
-        spells = profiles.select(spell_array(k, edition).alias("s"))
+        spells = profiles.select(spell_array(k, edition).alias("s")).withColumn("r", has_repeats(F.col("s")))
         years = F.array_distinct(F.flatten(F.transform("s", lambda s: F.sequence(s["a"], s["b"]))))
-        top = F.array_max(F.transform(years, _slot_count(k)))
+        top = F.array_max(F.transform(years, lambda y: F.size(slots_of_year(F.col("s"), F.col("r"), y))))
         one = spells.agg(F.greatest(F.coalesce(F.max(top), F.lit(1)), F.lit(1)).alias("slots")).select(F.lit(k).alias("kind"), "slots")
         parts = one if parts is None else parts.unionByName(one)
     return parts

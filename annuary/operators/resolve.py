@@ -28,16 +28,32 @@ def richness(profiles: DataFrame) -> Column:
     return n
 
 
-def match_score(a: dict, b: dict) -> float:
-    """Likeness of an existing and a new entry; 0 if either has no name."""
-    if not a["key"] or not b["key"]:
-        return 0.0
-    score = SequenceMatcher(None, a["key"], b["key"]).ratio()
-    if a["initials"] and b["initials"] and a["initials"] != b["initials"]:
-        score -= INITIALS_COST
-    if a["birth_year"] and a["birth_year"] == b["birth_year"]:
-        score += BIRTH_BONUS
-    return score
+def match_scores(old: list[dict], new: list[dict]) -> list[tuple[float, int, int]]:
+    """(score, i, j) of every existing and new entry that reach a match; entries without a name reach none.
+
+    The cheap upper bounds of the ratio spare most comparisons and change no result.
+    """
+    out = []
+    matcher = SequenceMatcher(None)
+    for j, b in enumerate(new):
+        if not b["key"]:
+            continue
+        matcher.set_seq2(b["key"])
+        for i, a in enumerate(old):
+            if not a["key"]:
+                continue
+            extra = 0.0
+            if a["initials"] and b["initials"] and a["initials"] != b["initials"]:
+                extra -= INITIALS_COST
+            if a["birth_year"] and a["birth_year"] == b["birth_year"]:
+                extra += BIRTH_BONUS
+            matcher.set_seq1(a["key"])
+            if matcher.real_quick_ratio() + extra < MATCH - 1e-9 or matcher.quick_ratio() + extra < MATCH - 1e-9:
+                continue
+            score = matcher.ratio() + extra
+            if score >= MATCH:
+                out.append((score, i, j))
+    return out
 
 
 def better(a: dict, b: dict) -> dict:
@@ -51,9 +67,8 @@ def fold_passes(passes: list[list[dict]]) -> list[dict]:
     """Passes in order; each is matched to what is there already, best score first, each entry once."""
     kept: list[dict] = []
     for entries in passes:
-        scores = [(match_score(old, new), i, j) for i, old in enumerate(kept) for j, new in enumerate(entries)]
         taken_old, taken_new = set(), set()
-        for _, i, j in sorted((s for s in scores if s[0] >= MATCH), key=lambda s: (-s[0], s[1], s[2])):
+        for _, i, j in sorted(match_scores(kept, entries), key=lambda s: (-s[0], s[1], s[2])):
             if i not in taken_old and j not in taken_new:
                 taken_old.add(i)
                 taken_new.add(j)
