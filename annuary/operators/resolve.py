@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from annuary.functions.people import given_initials, name_key, surname
 from annuary.functions.text import squash
+from annuary.session import fan_out
 
 #: Least score of a match, what differing initials cost, what an equal birth year earns.
 MATCH, INITIALS_COST, BIRTH_BONUS = 0.85, 0.05, 0.10
@@ -101,14 +102,18 @@ def merge_passes(profiles: DataFrame, pages: DataFrame | None = None) -> DataFra
     several = slim.join(counted.where("n > 1"), "source_page", "left_semi")
 
     def fold(page: pd.DataFrame) -> pd.DataFrame:
-        rows = page.sort_values(["pass_no", "pos", "profile_id"], kind="stable")
-        rows = rows.astype(object).where(rows.notna(), None)
-        passes = [part[_FIELDS].to_dict("records") for _, part in rows.groupby("pass_no", sort=True)]
-        kept = fold_passes(passes)
+        columns = [page[c].tolist() for c in _FIELDS]
+        rows = [dict(zip(_FIELDS, (None if v != v else v for v in r), strict=True)) for r in zip(*columns, strict=True)]
+        low = -1  # an unknown pass or place comes first
+        rows.sort(key=lambda r: (low if r["pass_no"] is None else r["pass_no"], low if r["pos"] is None else r["pos"], r["profile_id"]))
+        passes: dict[object, list[dict]] = {}
+        for r in rows:
+            passes.setdefault(r["pass_no"], []).append(r)
+        kept = fold_passes(list(passes.values()))
         return pd.DataFrame({"source_page": page["source_page"].iloc[0], "ordinal": range(len(kept)), "profile_id": [k["profile_id"] for k in kept]})
 
     schema = "source_page int, ordinal int, profile_id bigint"
-    folded = several.groupBy("source_page").applyInPandas(fold, schema)
+    folded = fan_out(several, "source_page").groupBy("source_page").applyInPandas(fold, schema)
     first = F.row_number().over(_print_order()) - 1
     return single.select("source_page", first.alias("ordinal"), "profile_id").unionByName(folded)
 
