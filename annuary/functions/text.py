@@ -16,9 +16,13 @@ def collapse(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+#: Fixed value: the running header of the printed pages, without white space.
+RUNNING_HEADER = "AMERICANMENOFSCIENCE"
+
+
 def squash(c: Column) -> Column:
     """All white space removed, then the running header of the printed pages."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", ""), "(?i)AMERICANMENOFSCIENCE", "")
+    return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", ""), f"(?i){RUNNING_HEADER}", "")
 
 
 def blank_to_null(c: Column) -> Column:
