@@ -79,7 +79,7 @@ def shred(obj: object, list_fields: frozenset[str], nodes: dict[bytes, str], edg
     return key
 
 
-_SHREDS = "record_id bigint, root binary, node binary, content string, parent binary, field string, ordinal int, child binary"
+_SHREDS = "record_id bigint, source_page int, root binary, node binary, content string, parent binary, field string, ordinal int, child binary"
 #: Identities that a task remembers to have handed on already, before it forgets them all; bounds memory only.
 _REMEMBER = 400_000
 
@@ -90,22 +90,23 @@ def _shred_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     fields = frozenset((*LISTS, "scientists"))
     for batch in batches:
         rows: list[tuple] = []
-        for record_id, raw in zip(batch["record_id"], batch["raw_json"], strict=True):
+        for record_id, source_page, raw in zip(batch["record_id"], batch["source_page"], batch["raw_json"], strict=True):
             page = page_text(raw)
             if page is None:
                 continue
             nodes: dict[bytes, str] = {}
             edges: set[tuple[bytes, str, int, bytes]] = set()
             root = shred(page, fields, nodes, edges)
-            rows.append((record_id, root, None, None, None, None, None, None))
-            rows += [(None, None, k, v, None, None, None, None) for k, v in nodes.items() if k not in sent]
-            rows += [(None, None, None, None, *e) for e in edges if e not in sent]
+            rows.append((record_id, source_page, root, None, None, None, None, None, None))
+            rows += [(None, None, None, k, v, None, None, None, None) for k, v in nodes.items() if k not in sent]
+            rows += [(None, None, None, None, None, *e) for e in edges if e not in sent]
             sent.update(nodes)
             sent.update(edges)
             if len(sent) > _REMEMBER:
                 sent.clear()
         out = pd.DataFrame(rows, columns=names)
         out["record_id"] = out["record_id"].astype("Int64")
+        out["source_page"] = out["source_page"].astype("Int32")
         out["ordinal"] = out["ordinal"].astype("Int32")
         yield out
 
@@ -117,10 +118,24 @@ def merkle_tables(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     once. edges: parent, field, ordinal (from 0, as written), child, each once. Rows with null raw_json, or
     JSON that is damaged or nested beyond the parser's depth, give nothing.
     """
-    ok = records.where((F.col("status") == "ok") & F.col("raw_json").isNotNull()).select(F.col("record_id").cast("bigint"), "raw_json")
-    shreds = cut_lineage(spread(ok).mapInPandas(_shred_batches, _SHREDS))
+    ok = records.where((F.col("status") == "ok") & F.col("raw_json").isNotNull()).select(F.col("record_id").cast("bigint"), F.lit(None).cast("int").alias("source_page"), "raw_json")
+    roots, nodes, edges = _tables(ok)
+    return roots.drop("source_page"), nodes, edges
+
+
+def profile_tables(profiles: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, nodes, edges) of the four lists of scientist_profiles, shredded as the pages are.
+
+    records: record_id (the profile_id), source_page, root; a profile without lists has a root without edges.
+    """
+    raw = F.to_json(F.struct(*LISTS)).alias("raw_json")
+    return _tables(profiles.select(F.col("profile_id").cast("bigint").alias("record_id"), F.col("source_page").cast("int").alias("source_page"), raw))
+
+
+def _tables(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    shreds = cut_lineage(spread(rows).mapInPandas(_shred_batches, _SHREDS))
     return (
-        shreds.where("root is not null").select("record_id", "root"),
+        shreds.where("root is not null").select("record_id", "source_page", "root"),
         shreds.where("node is not null").select("node", "content").dropDuplicates(["node"]),
         shreds.where("parent is not null").select("parent", "field", "ordinal", "child").distinct(),
     )
@@ -157,11 +172,37 @@ def flat_list(records: DataFrame, nodes: DataFrame, edges: DataFrame, list_name:
     """
     items = list_items(records, edges).where(F.col("list_name") == list_name)
     joined = items.join(nodes.withColumnRenamed("node", "item"), "item")
+    return joined.select("record_id", "scientist_pos", "item_pos", *[_value(key, name == bare).alias(name) for name, key in fields.items()])
+
+
+def _value(key: str, bare: bool) -> Column:
+    """The text of a key of the item in content; if bare, that of an item that is no object."""
     is_object = F.col("content").startswith("{")
-    out = []
-    for name, key in fields.items():
-        value = F.when(is_object, F.get_json_object("content", f"$.{key}"))
-        if name == bare:
-            value = F.coalesce(value, F.when(~is_object, F.get_json_object(F.concat(F.lit('{"v":'), F.col("content"), F.lit("}")), "$.v")))
-        out.append(value.alias(name))
-    return joined.select("record_id", "scientist_pos", "item_pos", *out)
+    value = F.when(is_object, F.get_json_object("content", f"$.{key}"))
+    return F.coalesce(value, F.when(~is_object, F.get_json_object(F.concat(F.lit('{"v":'), F.col("content"), F.lit("}")), "$.v"))) if bare else value
+
+
+def profile_items(records: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row per non-null list item of a profile: profile_id, source_page, list_name, item_pos, content."""
+    items = _step(records, "root", edges.where(F.col("field").isin(*LISTS)), F.col("record_id"))
+    return items.join(nodes, F.col("child") == F.col("node")).select(
+        F.col("record_id").alias("profile_id"), "source_page", F.col("field").alias("list_name"), F.col("ordinal").alias("item_pos"), "content"
+    )
+
+
+def flat_profile_list(records: DataFrame, nodes: DataFrame, edges: DataFrame, list_name: str, fields: dict[str, str], bare: str | None = None) -> DataFrame:
+    """The flat table of one list of the profiles: profile_id, source_page, item_pos and the fields in their types.
+
+    fields maps the keys of the item's object, which name the columns, to types; bare names the column that an
+    item that is a bare string fills.
+    """
+    items = profile_items(records, nodes, edges.where(F.col("field") == list_name))
+    return items.select("profile_id", "source_page", "item_pos", *[_value(key, key == bare).cast(t).alias(key) for key, t in fields.items()])
+
+
+def profile_labels(records: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """All lists of the profiles in one table: profile_id, list_name, item_pos, label, place."""
+    which = F.col("list_name")
+    label = F.when(which == "education", _value("degree_type", False)).when(which == "societies", _value("name", True)).otherwise(_value("position_title", False))
+    place = F.when(which == "education", _value("institution", False)).when(which != "societies", _value("institution_org", False))
+    return profile_items(records, nodes, edges).select("profile_id", "list_name", "item_pos", label.alias("label"), place.alias("place"))

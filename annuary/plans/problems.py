@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from annuary.functions.text import strip
 from annuary.operators.career import career_timeline
 from annuary.operators.dense_count import dense_counts
-from annuary.operators.nested import LISTS, flat_list, list_items, merkle_tables
+from annuary.operators.nested import LISTS, flat_list, flat_profile_list, list_items, merkle_tables, profile_labels, profile_tables
 from annuary.session import read_table
 
 
@@ -59,31 +59,25 @@ def _flat(list_name: str):
 
 
 def p6_profile_lists(spark: SparkSession, d: str) -> DataFrame:
-    """The lists of scientist_profiles, already typed, as one flat table of (profile_id, list_name, item_pos, label, place)."""
-    profiles = read_table(spark, d, "scientist_profiles")
-    parts = []
-    for name, label, place in (
-        ("education", "degree_type", "institution"),
-        ("employment", "position_title", "institution_org"),
-        ("minor_positions", "position_title", "institution_org"),
-        ("societies", None, None),
-    ):
-        item = F.col("item")
-        parts.append(
-            profiles.select("profile_id", F.posexplode(name).alias("item_pos", "item"))
-            .where("item is not null")
-            .select(
-                "profile_id",
-                F.lit(name).alias("list_name"),
-                "item_pos",
-                (item[label] if label else item).alias("label"),
-                (item[place] if place else F.lit(None).cast("string")).alias("place"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The lists of scientist_profiles as one flat table of (profile_id, list_name, item_pos, label, place)."""
+    return profile_labels(*profile_tables(read_table(spark, d, "scientist_profiles")))
+
+
+_POST_TYPES = {"position_title": "string", "institution_org": "string", "start_year": "int", "end_year": "int", "is_current_position": "boolean"}
+#: All fields of each list of the profiles, and the column that takes a bare string.
+PROFILE_FLAT = {
+    "education": ({"degree_type": "string", "institution": "string", "year": "int", "end_year": "int"}, None),
+    "employment": (_POST_TYPES, None),
+    "minor_positions": (_POST_TYPES, None),
+    "societies": ({"name": "string"}, "name"),
+}
+
+
+def _profile_flat(list_name: str):
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        return flat_profile_list(*profile_tables(read_table(spark, d, "scientist_profiles")), list_name, *PROFILE_FLAT[list_name])
+
+    return query
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -97,6 +91,7 @@ QUERIES = {
     "p6_nodes": p6_nodes,
     "p6_profile_lists": p6_profile_lists,
     **{f"p6_{name}": _flat(name) for name in LISTS},
+    **{f"p6_profile_{name}": _profile_flat(name) for name in LISTS},
     "p7_found": p7_found,
 }
 

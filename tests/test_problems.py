@@ -12,6 +12,7 @@ from annuary.operators import nested
 from annuary.operators.career import career_timeline
 from annuary.operators.dense_count import dense_counts
 from annuary.operators.intervals import periods_and_gaps
+from annuary.plans.problems import PROFILE_FLAT
 
 from .conftest import job
 
@@ -153,3 +154,22 @@ def test_identity_ignores_field_order():
 def test_nested_empty(spark):
     roots, nodes, edges = nested.merkle_tables(spark.createDataFrame([], "record_id bigint, status string, raw_json string"))
     assert nested.list_items(roots, edges).count() == 0 and nodes.count() == 0
+
+
+def test_profile_lists_keep_every_field(spark, profiles):
+    schooling = [("A.B", "Yale", 1901, None), None, (None, None, None, None), ("Ph.D", 'a "b" \\ é\n', 1904, 1905)]
+    jobs = [job("asst", "Iowa", 1900, 1902), job("prof", None, 1903, None, True), job("asst", "Iowa", 1900, 1902)]
+    p = profiles(
+        {"source_page": 7, "education": schooling, "employment": jobs, "minor_positions": [job("collab", "U.S", None, 1910)], "societies": ["A", None, "{x", "", "A"]},
+        {"source_page": 9, "employment": jobs, "education": []},
+        {"source_page": 9, "employment": jobs, "education": []},
+    )
+    tables = nested.profile_tables(p)
+    flat = {name: Counter(tuple(r) for r in nested.flat_profile_list(*tables, name, *PROFILE_FLAT[name]).collect()) for name in nested.LISTS}
+    assert flat["education"] == Counter((1, 7, i, *x) for i, x in enumerate(schooling) if x is not None)
+    assert flat["employment"] == Counter((i, page, k, *x) for i, page in ((1, 7), (2, 9), (3, 9)) for k, x in enumerate(jobs))
+    assert flat["minor_positions"] == Counter([(1, 7, 0, "collab", "U.S", None, 1910, False)])
+    assert flat["societies"] == Counter([(1, 7, 0, "A"), (1, 7, 2, "{x"), (1, 7, 3, ""), (1, 7, 4, "A")])
+    # Equal objects are one node, equal lists one root.
+    assert tables[0].count() == 3 and tables[0].select("root").distinct().count() == 2
+    assert tables[1].where("content like '%asst%'").count() == 1
