@@ -20,6 +20,10 @@ def _page_text(spark: SparkSession, d: str) -> DataFrame:
     return ocr.page_text(read_table(spark, d, "documents"))
 
 
+def _first_text(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.first_text(read_table(spark, d, "documents"))
+
+
 def profile_checks(spark, d):
     return checks.profile_findings(_profiles(spark, d))
 
@@ -45,6 +49,10 @@ def median_yield(spark, d):
 
 
 def star_mismatch(spark, d):
+    return checks.star_mismatch(_profiles(spark, d), _first_text(spark, d))
+
+
+def star_mismatch_all_texts(spark, d):
     return checks.star_mismatch(_profiles(spark, d), _page_text(spark, d))
 
 
@@ -86,10 +94,18 @@ def dedupe_first(spark, d):
 
 
 def printed_count(spark, d):
+    return ocr.printed_counts(_profiles(spark, d), _first_text(spark, d))
+
+
+def printed_count_all_texts(spark, d):
     return ocr.printed_counts(_profiles(spark, d), _page_text(spark, d))
 
 
 def entry_candidates(spark, d):
+    return ocr.entry_candidates(_first_text(spark, d))
+
+
+def entry_candidates_all_texts(spark, d):
     return ocr.entry_candidates(_page_text(spark, d))
 
 
@@ -117,8 +133,8 @@ def quality_run(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        profile_checks, out_of_order, page_overlap, alpha_window, duplicate_entities, median_yield, star_mismatch, findings_report, suspect_pages, top8_per_code,
-        findings_flags, review_view, position_lines, group_break, dedupe_first, printed_count, entry_candidates, printed_headings, text_layer_checks, subtractive_repair, omissions, quality_run,
+        profile_checks, out_of_order, page_overlap, alpha_window, duplicate_entities, median_yield, star_mismatch, star_mismatch_all_texts, findings_report, suspect_pages, top8_per_code,
+        findings_flags, review_view, position_lines, group_break, dedupe_first, printed_count, printed_count_all_texts, entry_candidates, entry_candidates_all_texts, printed_headings, text_layer_checks, subtractive_repair, omissions, quality_run,
     )
 }
 

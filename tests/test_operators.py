@@ -121,6 +121,29 @@ def test_text_layer(spark, profiles):
     assert {(r["page"], r["code"]) for r in got} >= {(1, "star_mismatch"), (3, "no_text_layer")}
 
 
+def test_all_texts_of_a_page_count(spark, profiles):
+    one, two = "*Beer, Dr. A(nn), x, May 2, 88. Far", ",Dr. Behre, C(arl) x. Gone, C(arl), x, March 1, 89. * Beer, Dr. B(en)"
+    rows = [(2, one, "page_text", 1), (5, two, "page_text", 1), (9, one.replace(" ", "\n"), "page_text", 1), (7, two, "page_text", 1), (1, "Zzz, Dr. Z", "letter", 1), (3, None, "page_text", 1), (4, "Zzz, Dr.", "page_text", None)]
+    pages = ocr.page_text(spark.createDataFrame(rows, "doc_id bigint, text string, kind string, page_no int"))
+    assert [r["text"] for r in pages.collect()] == [one + ocr.TEXT_BREAK + two]
+    # The end of one text and the start of the next are no entry.
+    assert {r["surname"] for r in ocr.entry_candidates(pages).collect()} == {"Beer", "Behre", "Gone"}
+    heads = [(r["ordinal"], r["heading"][:6]) for r in ocr.printed_headings(pages).orderBy("ordinal").collect()]
+    assert heads == [(0, "Beer, "), (1, "Behre,"), (2, "Gone, "), (3, "Beer, ")]
+    p = profiles({"full_name": "Beer, A(nn)", "birth_date": "May 2, 1888", "birth_year": 1888, "star_status": True}, {"full_name": "Gone, C(arl)", "birth_date": "March 1, 1889", "birth_year": 1889})
+    assert [(r["profile_id"], r["n_printed"]) for r in ocr.printed_counts(p, pages).orderBy("profile_id").collect()] == [(1, 2), (2, 1)]
+    assert [tuple(r) for r in checks.star_mismatch(p, pages).collect()] == [(1, 2, 1)]
+    assert [r["repair_note"] for r in ocr.repair_birth_fields(p, pages).collect()] == ["", ""]
+    codes = {(r["code"], r["scientist"]) for r in ocr.text_findings(p, pages, checks.alpha_window(p)).collect()}
+    assert codes == {("surname_undercounted", "Beer"), ("entry_possibly_missed", "Behre"), ("star_mismatch", "")}
+
+
+def test_repair_looks_at_every_text(spark, profiles):
+    pages = spark.createDataFrame([(1, "Gone,C(arl),x,nothing" + ocr.TEXT_BREAK + "Gone,C(arl),x,March1,89.y")], "page int, text string")
+    p = profiles({"full_name": "Gone, C(arl)", "birth_date": "March 1, 1889", "birth_year": 1889})
+    assert ocr.repair_birth_fields(p, pages).first()["repair_note"] == ""
+
+
 def test_repair_only_removes(spark, profiles):
     text = "Good,A(nna),x,March1,89.y" + "z" * 400 + "Month,B(en),x,April1,89.y" + "z" * 400 + "Gone,C(arl),x,nothing" + "z" * 400 + "Only,D(ora),x"
     pages = spark.createDataFrame([(1, text)], "page int, text string")
