@@ -7,8 +7,10 @@ of one is a word lost and a word added, unless it is close enough in spelling to
 
 Seeds. In a window of WINDOW item words at most WINDOW / ERROR_RATE are damaged, and a damage spoils at most
 SEED word n-grams. So of the n-grams of a window it is enough to look for as many as can be spoilt and one
-more; the rarest in the corpus are taken, from counts over all documents. Every passage therefore keeps a
-seed, while common turns of phrase are hardly ever looked up.
+more; the rarest in the corpus are taken, from counts over all documents. A passage of half a window more may
+have one damage more in the words that all its windows share, so windows of that length are filled up to as
+many seeds as they need; of any longer passage some window has no more than its share of damages. Every
+passage therefore keeps a seed, while common turns of phrase are hardly ever looked up.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from annuary.session import spread
 WINDOW = 16
 ERROR_RATE = 8
 SEED = 3
+#: Every passage that counts holds a stretch of one of these lengths with one damage in ERROR_RATE at most.
+SPANS = (WINDOW, WINDOW + ERROR_RATE)
 #: Item words that are looked for in one pass over the corpus; a larger set of items is taken in several passes.
 WORDS_PER_PASS = 2_000_000
 
@@ -82,17 +86,23 @@ def index_items(rows: list[tuple[int, str]]) -> Items:
 
 
 def choose_seeds(items: Items, counts: np.ndarray) -> list[list[tuple[int, int]]]:
-    """For each n-gram number its (item, position) pairs, kept where it is among the rarest of some window."""
-    spoilt = (WINDOW // ERROR_RATE) * SEED
-    per_window = WINDOW - SEED + 1
-    need = min(per_window, spoilt + 1)
+    """For each n-gram number its (item, position) pairs, kept where it is among the rarest of some window.
+
+    A longer window takes the seeds of the shorter ones inside it and its rarest others, up to what it needs.
+    """
     where: list[list[tuple[int, int]]] = [[] for _ in range(len(items.grams))]
     for i, gram in enumerate(items.gram_of):
         chosen = np.zeros(len(gram), dtype=bool)
         seen = counts[gram]
-        for a in range(len(gram) - per_window + 1):
-            order = np.argsort(seen[a : a + per_window], kind="stable")[:need]
-            chosen[a + order] = True
+        for span in SPANS:
+            per_window = span - SEED + 1
+            need = min(per_window, (span // ERROR_RATE) * SEED + 1)
+            for a in range(len(gram) - per_window + 1):
+                order = np.argsort(seen[a : a + per_window], kind="stable")
+                if span > WINDOW:
+                    inside = chosen[a : a + per_window]
+                    order = order[~inside[order]][: max(0, need - int(inside.sum()))]
+                chosen[a + order[:need]] = True
         for p in np.flatnonzero(chosen):
             where[gram[p]].append((i, int(p)))
     return where
@@ -224,9 +234,9 @@ class Finder:
 
     def verify(self, i: int, text: np.ndarray, plain: list[str]) -> tuple | None:
         item = self.items.words[i]
-        # A window of the item that counts has nearly all its words somewhere in this stretch of text.
+        # A stretch of the item that counts has nearly all its words somewhere in this stretch of text.
         present = np.isin(item, text).astype(np.int64)
-        if len(item) < WINDOW or np.convolve(present, np.ones(WINDOW, dtype=np.int64), "valid").max() < WINDOW - WINDOW // ERROR_RATE:
+        if not any(len(item) >= n and np.convolve(present, np.ones(n, dtype=np.int64), "valid").max() >= n - n // ERROR_RATE for n in SPANS):
             return None
         return best_passage(smith_waterman(item, text), [self.names[w] for w in item], plain)
 

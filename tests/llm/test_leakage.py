@@ -26,6 +26,17 @@ def damage(rng, text, errors):
     return out
 
 
+def test_three_damages_shared_by_all_windows():
+    plain = WORDS[:24]
+    index = K.index_items([(1, " ".join(plain))])
+    doc = [w + "x" if at in (8, 11, 14) else w for at, w in enumerate(plain)]
+    # The rarest n-grams are just those that the damages spoil.
+    counts = np.full(len(index.grams), 100)
+    counts[index.gram_of[0][6:15]] = 1
+    found = K.Finder(index, K.choose_seeds(index, counts)).document(" ".join(["zz", *doc, "yy"]))
+    assert [(r[0], r[1], r[2], r[3], r[4]) for r in found] == [(1, 21, 3, 0, 23)]
+
+
 def test_seeds_never_miss_a_damaged_window():
     rng = random.Random(3)
     items = [(i, " ".join(words(rng, 60))) for i in range(30)]
