@@ -9,6 +9,7 @@ gives the organisation.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annuary.llm.canonical import plain_city
-from annuary.llm.orgnames import NO_PLACE, PREFIX_WORDS, parse
+from annuary.llm.orgnames import NO_PLACE, PREFIX_WORDS, fold, parse
 from annuary.session import cut_lineage, fan_out
 
 #: Edits between two spellings of one stem.
@@ -24,7 +25,8 @@ K = 2
 #: Spread of the rows of one organisation when its pairs are written out.
 SALT = 8
 
-_PARTS = "institution string, city string, stem string, head string, kind string, of boolean, cut boolean, initials string, town string"
+_WORD = re.compile(r"[^\W_]+")
+_PARTS = "institution string, city string, spelling string, stem string, head string, kind string, of boolean, cut boolean, initials string, town string"
 
 
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -39,7 +41,7 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             head = words[0] if len(words) > 1 and words[0] in PREFIX_WORDS else ""
             town = plain_city(city) if isinstance(city, str) else ""
             town = "" if town in NO_PLACE else town
-            rows.append((text, city, " ".join(words[1:]) if head else p.stem, head, p.kind, p.of, p.cut, "".join(sorted(p.initials)), town if len(town) > 3 else p.town))
+            rows.append((text, city, " ".join(_WORD.findall(fold(text))), " ".join(words[1:]) if head else p.stem, head, p.kind, p.of, p.cut, "".join(sorted(p.initials)), town if len(town) > 3 else p.town))
         yield pd.DataFrame(rows, columns=names)
 
 
@@ -48,16 +50,20 @@ def spellings(bridge: DataFrame) -> DataFrame:
     rows = bridge.select(F.col("bridge_id").cast("bigint").alias("bridge_id"), "shard", "institution", "city", F.coalesce("n_events", F.lit(0)).alias("n_events"))
     parsed = fan_out(rows.select("institution", "city").where("institution is not null").distinct()).mapInPandas(_parse_batches, _PARTS)
     named = rows.alias("r").join(parsed.alias("p"), (F.col("r.institution") == F.col("p.institution")) & F.col("r.city").eqNullSafe(F.col("p.city")))
-    return named.select("bridge_id", "shard", "n_events", "stem", "head", "kind", "of", "cut", "initials", "town").withColumn(
+    return named.select("bridge_id", "shard", "n_events", "spelling", "stem", "head", "kind", "of", "cut", "initials", "town").withColumn(
         "node", F.xxhash64("shard", "stem", "head", "kind", "of", "cut", "initials")
     )
 
 
 def nodes_of(rows: DataFrame) -> DataFrame:
-    """One row per spelling of a shard, with its weight and the town most often beside it."""
+    """One row per spelling of a shard, with its weight and the town most often beside it.
+
+    n_forms counts the forms that differ in more than letter case and punctuation, so copies of a row are one.
+    """
     by = ["node", "shard", "stem", "head", "kind", "of", "cut", "initials"]
     towns = rows.where("town <> ''").groupBy("node", "town").agg(F.count("*").alias("n")).groupBy("node").agg(F.max_by("town", F.struct("n", "town")).alias("town"))
-    weights = rows.groupBy(*by).agg((F.count("*") + F.sum("n_events")).alias("weight"), F.count("*").alias("n_rows"))
+    forms = rows.groupBy(*by, "spelling").agg((F.count("*") + F.sum("n_events")).alias("weight"))
+    weights = forms.groupBy(*by).agg(F.sum("weight").alias("weight"), F.count("*").alias("n_forms"))
     return weights.join(towns, "node", "left")
 
 
@@ -139,7 +145,7 @@ def initial_pairs(nodes: DataFrame) -> DataFrame:
 def parents(nodes: DataFrame) -> DataFrame:
     """(x, y): the spelling that each spelling stands for, where there is a better one."""
     pairs = segment_pairs(nodes).unionByName(beginning_pairs(nodes)).unionByName(initial_pairs(nodes))
-    side = lambda p: nodes.select(*[F.col(c).alias(f"{p}_{c}") for c in ("node", "stem", "head", "kind", "of", "cut", "initials", "weight", "n_rows", "town")])
+    side = lambda p: nodes.select(*[F.col(c).alias(f"{p}_{c}") for c in ("node", "stem", "head", "kind", "of", "cut", "initials", "weight", "n_forms", "town")])
     both = pairs.join(side("x"), F.col("x") == F.col("x_node")).join(side("y"), F.col("y") == F.col("y_node"))
     whole = F.levenshtein("x_stem", "y_stem", K)
     start = F.levenshtein(F.col("x_stem"), F.expr("substr(y_stem, 1, length(x_stem))"), 1)
@@ -155,7 +161,7 @@ def parents(nodes: DataFrame) -> DataFrame:
     allowed = (
         (F.col("x_initials") != "") & ~apart
         | F.col("x_cut")
-        | ((F.col("x_initials") == "") & ~F.col("x_cut") & ((bare & (same_head | (F.col("x_head") == ""))) | (same_head & same_kind & heavier & ~(apart & (F.col("x_n_rows") > 1)) & (same_of | (~apart & (F.col("x_n_rows") == 1))))))
+        | ((F.col("x_initials") == "") & ~F.col("x_cut") & ((bare & (same_head | (F.col("x_head") == ""))) | (same_head & same_kind & heavier & ~(apart & (F.col("x_n_forms") > 1)) & (same_of | (~apart & (F.col("x_n_forms") == 1))))))
     )
     known = F.when(F.col("x_town").isNotNull() & F.col("y_town").isNotNull() & ~apart, 0).otherwise(1)
     rank = F.struct((~bare & (F.col("x_kind") == "")).alias("r0"), (~bare & ~same_of).alias("r0b"), apart.alias("r1"), known.alias("r2"), d.alias("r3"), (F.col("x_stem") != F.col("y_stem")).alias("r3b"), (~same_head).alias("r3c"), (-F.col("y_weight")).alias("r4"), F.col("y").alias("r5"))
