@@ -2,8 +2,9 @@
 
 An address is taken apart into house number, direction, street, street kind, town and region. The tokens of
 an address are its house number joined with the beginnings and ends of its street and town, so a misprint
-spares some of them. Each address is indexed under its rarest tokens that any other address shares; every
-address probes with all its tokens, the fuller one thus finding the less full. A candidate pair is verified:
+spares some of them; a short street is a token as a whole. Each address is indexed under its rarest tokens
+that any other address shares; every address probes with all its tokens, the fuller one thus finding the less
+full. A candidate pair is verified:
 what the less full address says must be contained in the other, up to misprints, and no component may
 contradict.
 """
@@ -61,6 +62,8 @@ DEPARTMENT_WORDS = {"dept", "department", "dep", "dep't", "dept."}
 
 #: Tokens under which an address is indexed.
 INDEX_TOKENS = 3
+#: Letters of a street up to which it gives whole-word tokens; these are all indexed, beside the rarest others.
+SHORT = 4
 _KIND = {short: word for word, shorts in STREET_KINDS.items() for short in shorts}
 _DIRECTION = {short: word for word, shorts in DIRECTIONS.items() for short in shorts}
 _REGION = {short: word for word, shorts in REGIONS.items() for short in shorts}
@@ -195,11 +198,16 @@ def parse(text: str | None, city: str | None) -> Address | None:
 
 
 def name_tokens(a: Address) -> list[str]:
-    """House number joined with the beginnings and ends of the street and of the words of the town."""
+    """House number joined with the beginnings and ends of the street and of the words of the town.
+
+    A short street gives itself and itself without each of its letters: two of them one edit apart share one.
+    """
     out = set()
     for w in [a.street, *a.town.split()]:
         if len(w) >= 4 and w not in ("saint", "mount", "fort", "north", "south", "falls", "springs", "junction"):
             out |= {f"{a.number}^{w[:4]}", f"{a.number}{w[-4:]}$"}
+    if a.number and 0 < len(a.street) <= SHORT:
+        out |= {f"{a.number}={a.street[:i]}{a.street[i + 1 :]}" for i in range(len(a.street))} | {f"{a.number}={a.street}"}
     return sorted(out)
 
 
@@ -278,8 +286,9 @@ def place_links(places: DataFrame) -> DataFrame:
     one = places.select("place", *_FIELDS, "tokens").dropDuplicates(["place"])
     tokens = one.select("place", F.explode("tokens").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    ranked = tokens.join(common, "token").withColumn("r", F.row_number().over(Window.partitionBy("place").orderBy("n", "token")))
-    index = ranked.where(F.col("r") <= INDEX_TOKENS).select("token", F.col("place").alias("i"))
+    whole = F.col("token").contains("=")
+    ranked = tokens.join(common, "token").withColumn("r", F.row_number().over(Window.partitionBy("place", whole).orderBy("n", "token")))
+    index = ranked.where(whole | (F.col("r") <= INDEX_TOKENS)).select("token", F.col("place").alias("i"))
     probe = ranked.select("token", F.col("place").alias("p"))
     pairs = probe.join(index, "token").where("p <> i").select(F.least("p", "i").alias("a"), F.greatest("p", "i").alias("b")).distinct()
     left = one.select(F.col("place").alias("a"), *[F.col(f).alias(f"a_{f}") for f in _FIELDS])
