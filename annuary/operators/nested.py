@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annuary.session import cut_lineage, spread
+from annuary.session import cut_lineage, salted_join, spread
 
 #: Spread of the records that share one root (copies of one page), for the joins along the tree.
 SALT = 8
@@ -24,10 +25,86 @@ SALT = 8
 LISTS = ("education", "employment", "minor_positions", "societies")
 
 
-def page_text(raw: str, max_depth_error: type[Exception] = RecursionError) -> dict | None:
+#: What stands between the parts of a JSON text, and its numbers and words.
+_BLANK = re.compile(r"[ \t\n\r]*")
+_PLAIN = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?|true|false|null|NaN|-?Infinity")
+
+
+def parse_json(text: str) -> object:
+    """The value of a JSON text of any depth. ValueError if it is damaged.
+
+    The parser of the standard library is tried first; it gives up on very deep texts, which are then read with
+    a stack of our own.
+    """
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return _parse_deep(text)
+
+
+def _parse_deep(text: str) -> object:
+    open_: list[tuple[object, str | None]] = []  # containers that are not closed yet, each with the key that waits
+    at = _BLANK.match(text).end()
+    while True:
+        mark = text[at : at + 1]
+        if mark in ("{", "["):
+            value: object = {} if mark == "{" else []
+            at = _BLANK.match(text, at + 1).end()
+            if text[at : at + 1] != ("}" if mark == "{" else "]"):
+                key = None
+                if mark == "{":
+                    key, at = _key(text, at)
+                open_.append((value, key))
+                continue
+            at += 1
+        elif mark == '"':
+            value, at = json.decoder.scanstring(text, at + 1, True)
+        else:
+            plain = _PLAIN.match(text, at)
+            if plain is None:
+                raise ValueError(f"no value at {at}")
+            value, at = json.loads(plain.group()), plain.end()
+        # A whole value: hand it to the container around it, and close all that end here.
+        while True:
+            at = _BLANK.match(text, at).end()
+            if not open_:
+                if at != len(text):
+                    raise ValueError(f"text after the value at {at}")
+                return value
+            around, key = open_.pop()
+            if isinstance(around, dict):
+                around[key] = value
+            else:
+                around.append(value)
+            mark = text[at : at + 1]
+            if mark == ("}" if isinstance(around, dict) else "]"):
+                value, at = around, at + 1
+                continue
+            if mark != ",":
+                raise ValueError(f"no comma at {at}")
+            at = _BLANK.match(text, at + 1).end()
+            key = None
+            if isinstance(around, dict):
+                key, at = _key(text, at)
+            open_.append((around, key))
+            break
+
+
+def _key(text: str, at: int) -> tuple[str, int]:
+    """The key at this place and where its value begins."""
+    if text[at : at + 1] != '"':
+        raise ValueError(f"no key at {at}")
+    key, at = json.decoder.scanstring(text, at + 1, True)
+    at = _BLANK.match(text, at).end()
+    if text[at : at + 1] != ":":
+        raise ValueError(f"no colon at {at}")
+    return key, _BLANK.match(text, at + 1).end()
+
+
+def page_text(raw: str) -> dict | None:
     """The page object of a raw record: the object itself, or the text of a batch result line. None if not whole."""
     try:
-        outer = json.loads(raw)
+        outer = parse_json(raw)
         if not isinstance(outer, dict):
             return None
         if "response" not in outer:
@@ -40,43 +117,70 @@ def page_text(raw: str, max_depth_error: type[Exception] = RecursionError) -> di
             if piece.get("type") == "output_text"
         )
         start, stop = text.find("{"), text.rfind("}")
-        inner = json.loads(text[start : stop + 1]) if start >= 0 else None
+        inner = parse_json(text[start : stop + 1]) if start >= 0 else None
         return inner if isinstance(inner, dict) else None
-    except (ValueError, AttributeError, TypeError, max_depth_error):
+    except (ValueError, AttributeError, TypeError):
         return None
 
 
+def _parts(value: object, list_fields: frozenset[str]) -> tuple[bytes, str, list[tuple[str, int]], list[object]]:
+    """What a value is made of: its sort, the JSON of what it holds itself, and its children with their places."""
+    places: list[tuple[str, int]] = []
+    children: list[object] = []
+    if isinstance(value, dict):
+        own: dict[str, object] = {}
+        for field in sorted(value):
+            inner = value[field]
+            if field in list_fields and inner is not None and not isinstance(inner, list):
+                inner = [inner]
+            if isinstance(inner, dict):
+                places.append((field, 0))
+                children.append(inner)
+            elif isinstance(inner, list) and any(x is not None for x in inner):
+                for i, x in enumerate(inner):
+                    if x is not None:
+                        places.append((field, i))
+                        children.append(x)
+            else:
+                own[field] = inner
+        return b"o", json.dumps(own, sort_keys=True, ensure_ascii=False), places, children
+    if isinstance(value, list):
+        for i, x in enumerate(value):
+            if x is not None:
+                places.append(("", i))
+                children.append(x)
+        return b"a", "[]", places, children
+    return b"v", json.dumps(value, ensure_ascii=False), places, children
+
+
 def shred(obj: object, list_fields: frozenset[str], nodes: dict[bytes, str], edges: set[tuple[bytes, str, int, bytes]]) -> bytes:
     """Add obj and everything below to nodes and edges; returns its hash.
 
-    Objects, and the entries of lists, become nodes of their own. A field named in list_fields that holds a
-    single value instead of a list counts as a list of one. Null entries make no node but keep their ordinal.
+    Objects, and the entries of lists, become nodes of their own; a list inside a list is a node whose entries
+    hang on the field ''. A field named in list_fields that holds a single value instead of a list counts as a
+    list of one. Null entries make no node but keep their ordinal. The walk keeps its own stack, so depth is
+    bounded by memory only.
     """
-    if not isinstance(obj, dict):
-        content = json.dumps(obj, sort_keys=True, ensure_ascii=False)
-        key = hashlib.blake2b(b"v" + content.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    todo: list[tuple[object, tuple | None]] = [(obj, None)]
+    done: list[bytes] = []  # hashes of finished values whose parents are not finished yet
+    while todo:
+        value, made = todo.pop()
+        if made is None:
+            sort, content, places, children = _parts(value, list_fields)
+            todo.append((None, (sort, content, places)))
+            todo += [(x, None) for x in reversed(children)]
+            continue
+        sort, content, places = made
+        links = [(field, i, child) for (field, i), child in zip(places, done[len(done) - len(places) :], strict=True)]
+        del done[len(done) - len(places) :]
+        digest = hashlib.blake2b(sort + content.encode("utf-8", "surrogatepass"), digest_size=16)
+        for field, i, child in links:
+            digest.update(f"\x00{field}\x00{i}\x00".encode("utf-8", "surrogatepass") + child)
+        key = digest.digest()
         nodes.setdefault(key, content)
-        return key
-    own: dict[str, object] = {}
-    links: list[tuple[str, int, bytes]] = []
-    for field in sorted(obj):
-        value = obj[field]
-        if field in list_fields and value is not None and not isinstance(value, list):
-            value = [value]
-        if isinstance(value, dict):
-            links.append((field, 0, shred(value, list_fields, nodes, edges)))
-        elif isinstance(value, list):
-            links += [(field, i, shred(x, list_fields, nodes, edges)) for i, x in enumerate(value) if x is not None]
-        else:
-            own[field] = value
-    content = json.dumps(own, sort_keys=True, ensure_ascii=False)
-    digest = hashlib.blake2b(b"o" + content.encode("utf-8", "surrogatepass"), digest_size=16)
-    for field, i, child in links:
-        digest.update(f"\x00{field}\x00{i}\x00".encode("utf-8", "surrogatepass") + child)
-    key = digest.digest()
-    nodes.setdefault(key, content)
-    edges.update((key, field, i, child) for field, i, child in links)
-    return key
+        edges.update((key, field, i, child) for field, i, child in links)
+        done.append(key)
+    return done[0]
 
 
 _SHREDS = "record_id bigint, source_page int, root binary, node binary, content string, parent binary, field string, ordinal int, child binary"
@@ -115,14 +219,33 @@ def merkle_tables(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(records, nodes, edges) of the page_records rows with status ok and whole JSON.
 
     records: record_id, root. nodes: node, content (JSON of the object's own scalar fields), each identity
-    once. edges: parent, field, ordinal (from 0, as written), child, each once. Rows with null raw_json, or
-    JSON that is damaged or nested beyond the parser's depth, give nothing.
+    once. edges: parent, field, ordinal (from 0, as written), child, each once. Objects may be nested to any
+    depth. Rows with null raw_json or damaged JSON are in none of the tables, but in unread_records.
     """
-    ok = records.where((F.col("status") == "ok") & F.col("raw_json").isNotNull()).select(F.col("record_id").cast("bigint"), F.lit(None).cast("int").alias("source_page"), "raw_json")
-    roots, nodes, edges = _tables(ok)
+    roots, nodes, edges = _tables(_ok(records))
     return roots.drop("source_page"), nodes, edges
 
 
+def _ok(records: DataFrame) -> DataFrame:
+    return records.where((F.col("status") == "ok") & F.col("raw_json").isNotNull()).select(F.col("record_id").cast("bigint"), F.lit(None).cast("int").alias("source_page"), "raw_json")
+
+
+def unread_records(records: DataFrame) -> DataFrame:
+    """(record_id, reason) of the page_records rows that give no page object: not ok, without text, or damaged."""
+    status = F.coalesce("status", F.lit(""))
+    left_out = records.where((status != "ok") | F.col("raw_json").isNull()).select(
+        F.col("record_id").cast("bigint").alias("record_id"), F.when(status != "ok", F.concat(F.lit("status "), status)).otherwise(F.lit("no text")).alias("reason")
+    )
+    damaged = spread(_ok(records)).mapInPandas(_damaged_batches, "record_id bigint, reason string")
+    return left_out.unionByName(damaged)
+
+
+def _damaged_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        bad = [(r, "damaged") for r, raw in zip(batch["record_id"], batch["raw_json"], strict=True) if page_text(raw) is None]
+        yield pd.DataFrame(bad, columns=["record_id", "reason"])
+
+
 def profile_tables(profiles: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(records, nodes, edges) of the four lists of scientist_profiles, shredded as the pages are.
 
@@ -141,11 +264,9 @@ def _tables(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
 
 
-def _step(left: DataFrame, at: str, edges: DataFrame, spread: Column) -> DataFrame:
-    """Follow edges from column at; copies of one parent are spread over SALT parts."""
-    salted = left.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALT)).cast("int"))
-    copies = edges.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))).withColumnRenamed("parent", at)
-    return salted.join(copies, [at, "salt"]).drop("salt", at)
+def _step(left: DataFrame, at: str, edges: DataFrame, spread_by: Column) -> DataFrame:
+    """Follow edges from column at; the copies of a parent that very many rows share are spread over SALT parts."""
+    return salted_join(left, edges.withColumnRenamed("parent", at), [at], spread_by, SALT).drop(at)
 
 
 def list_items(records: DataFrame, edges: DataFrame) -> DataFrame:
@@ -153,7 +274,7 @@ def list_items(records: DataFrame, edges: DataFrame) -> DataFrame:
     scientists = _step(records, "root", edges.where("field = 'scientists'").drop("field"), F.col("record_id")).select(
         "record_id", F.col("ordinal").alias("scientist_pos"), F.col("child").alias("scientist")
     )
-    keep = scientists.withColumn("parent", F.col("scientist"))
+    keep = cut_lineage(scientists.withColumn("parent", F.col("scientist")))
     return _step(keep, "parent", edges.where(F.col("field").isin(*LISTS)), F.struct("record_id", "scientist_pos")).select(
         "record_id",
         "scientist_pos",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from annuary.functions.text import strip
 from annuary.operators.career import career_timeline
 from annuary.operators.dense_count import dense_counts
-from annuary.operators.nested import LISTS, flat_list, flat_profile_list, list_items, merkle_tables, profile_labels, profile_tables
+from annuary.operators.nested import LISTS, flat_list, flat_profile_list, list_items, merkle_tables, profile_labels, profile_tables, unread_records
 from annuary.session import read_table
 
 
@@ -50,6 +50,11 @@ def p6_nodes(spark: SparkSession, d: str) -> DataFrame:
     return items.groupBy("list_name").agg(F.count("*").alias("n_items"), F.countDistinct("item").alias("n_objects"))
 
 
+def p6_unread(spark: SparkSession, d: str) -> DataFrame:
+    """The page records that give no page object, each with the reason."""
+    return unread_records(read_table(spark, d, "page_records"))
+
+
 def _flat(list_name: str):
     def query(spark: SparkSession, d: str) -> DataFrame:
         records, nodes, edges = merkle_tables(read_table(spark, d, "page_records"))
@@ -89,6 +94,7 @@ QUERIES = {
     "p3_counts": p3_counts,
     "p6_found": p6_found,
     "p6_nodes": p6_nodes,
+    "p6_unread": p6_unread,
     "p6_profile_lists": p6_profile_lists,
     **{f"p6_{name}": _flat(name) for name in LISTS},
     **{f"p6_profile_{name}": _profile_flat(name) for name in LISTS},
@@ -124,6 +130,7 @@ with spells as (
 )
 """
 
+# A page object as the operator sees it: a single scientist is a list of one, null fields and entries are nothing.
 _WHOLE = r"""
 j as (select record_id, case when json_valid(raw_json) then cast(raw_json as json) end as j from page_records where status = 'ok'),
 t as (select record_id, j, nullif(regexp_extract(array_to_string(list_transform(list_filter(json_extract(j, '$.response.body.output[*].content[*]'),
@@ -135,7 +142,26 @@ named as (select record_id, scientist_pos, n as list_name, json_extract(s, '$.'
 boxed as (select record_id, scientist_pos, list_name, case json_type(v) when 'ARRAY' then json_extract(v, '$[*]') when 'NULL' then [] else [v] end as l from named where v is not null),
 items as (select record_id, scientist_pos, list_name, i - 1 as item_pos, l[i] as item from (select *, unnest(range(1, len(l) + 1)) as i from boxed) where json_type(l[i]) <> 'NULL')"""
 
+_ITEM = "select record_id, cast(scientist_pos as int) as scientist_pos, cast(item_pos as int) as item_pos"
+_POST_SQL = (
+    f"with {_WHOLE} {_ITEM}, case when json_type(item) = 'OBJECT' then item->>'$.position_title' else item->>'$' end as position_title,"
+    " item->>'$.institution_org' as institution_org, item->>'$.start_year' as start_year, item->>'$.end_year' as end_year, item->>'$.is_current_position' as is_current_position from items where list_name = '{}'"
+)
+#: What tells two items apart: their keys and values, whatever the order of the keys and however numbers are blanked.
+_IDENTITY = """case when json_type(item) = 'OBJECT' then (select string_agg(k || '=' || cast(json_extract(item, '$.' || k) as varchar), chr(1) order by k) from (select unnest(json_keys(item)) as k)) else cast(item as varchar) end"""
+_PROFILE_ITEMS = "(select profile_id, source_page, cast(i - 1 as int) as item_pos, {0}[i] as x from (select profile_id, source_page, {0}, unnest(range(1, len({0}) + 1)) as i from scientist_profiles) where {0}[i] is not null)"
+_PROFILE_POST = "select profile_id, source_page, item_pos, x.position_title as position_title, x.institution_org as institution_org, x.start_year as start_year, x.end_year as end_year, x.is_current_position as is_current_position from "
+
 ORACLE = {
+    "p6_unread": f"""with {_WHOLE} select record_id, case when coalesce(status, '') <> 'ok' then 'status ' || coalesce(status, '') else 'no text' end as reason from page_records where coalesce(status, '') <> 'ok' or raw_json is null
+union all select record_id, 'damaged' from page_records p where status = 'ok' and raw_json is not null and not exists (select 1 from pages q where q.record_id = p.record_id and json_type(q.page) = 'OBJECT')""",
+    "p6_nodes": f"with {_WHOLE} select list_name, count(*) as n_items, count(distinct {_IDENTITY}) as n_objects from items group by 1",
+    "p6_employment": _POST_SQL.replace("'{}'", "'employment'"),
+    "p6_minor_positions": _POST_SQL.replace("'{}'", "'minor_positions'"),
+    "p6_profile_education": f"select profile_id, source_page, item_pos, x.degree_type as degree_type, x.institution as institution, x.year as year, x.end_year as end_year from {_PROFILE_ITEMS.format('education')}",
+    "p6_profile_employment": _PROFILE_POST + _PROFILE_ITEMS.format("employment"),
+    "p6_profile_minor_positions": _PROFILE_POST + _PROFILE_ITEMS.format("minor_positions"),
+    "p6_profile_societies": f"select profile_id, source_page, item_pos, x as name from {_PROFILE_ITEMS.format('societies')}",
     "p6_found": f"with {_WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, list_name, cast(item_pos as int) as item_pos from items",
     "p6_education": f"""with {_WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, cast(item_pos as int) as item_pos,
  case when json_type(item) = 'OBJECT' then item->>'$.degree_type' else item->>'$' end as degree_type, item->>'$.institution' as institution, item->>'$.year' as year, item->>'$.end_year' as end_year

@@ -5,12 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Largest side, in bytes of serialised rows, that an operator may broadcast by explicit hint.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
 
 def get_spark(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own session."""
@@ -73,10 +70,38 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checked_broadcast(df: DataFrame, measured_bytes: int) -> DataFrame:
-    """A broadcast hint for df if its measured size is within the bound, else df for a shuffled join."""
-    return F.broadcast(df) if measured_bytes <= BROADCAST_LIMIT_BYTES else df
+#: A key is hot if it holds more than this part of the rows of a join's left side, and more than HOT_LEAST rows.
+HOT_SHARE, HOT_LEAST = 1 / 1000, 10_000
+
+
+def hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that hold more than HOT_SHARE of the rows: fewer than 1 / HOT_SHARE, however many rows there are."""
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return counted.where(F.col("_n") > max(HOT_LEAST, int(rows.count() * HOT_SHARE))).select(*keys)
 
 
-def is_empty(df: DataFrame) -> bool:
-    return not df.take(1)
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: Column, parts: int) -> DataFrame:
+    """Inner join on keys, where the left rows of each hot key are dealt over parts by the hash of spread_by.
+
+    Only the right rows of hot keys are copied, so both sides keep their size. left should be written down
+    (cut_lineage), since it is counted first. The broadcast is the list of hot keys, which is bounded.
+    """
+    hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
+    dealt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    a = left.join(hot, keys, "left").withColumn("_part", dealt).drop("_hot")
+    b = right.join(hot, keys, "left").withColumn("_part", F.explode(copies)).drop("_hot")
+    return a.join(b, [*keys, "_part"]).drop("_part")
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
+    """rows with their place from 1 along the order, which must be total. No task sees more than its own range.
+
+    The rows are dealt out in ranges and sorted inside each; places count on from the sizes of the ranges before.
+    """
+    ranged = cut_lineage(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    range_no, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ranged.groupBy(range_no.alias("_range")).agg(F.count("*").alias("_n"))  # one row per range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ranged.withColumn("_range", range_no).join(F.broadcast(sizes.select("_range", before.alias("_before"))), "_range")
+    return placed.withColumn(name, F.col("_before") + inside + 1).drop("_range", "_before", "_at")

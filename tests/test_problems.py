@@ -13,6 +13,7 @@ from annuary.operators.career import career_timeline
 from annuary.operators.dense_count import dense_counts
 from annuary.operators.intervals import periods_and_gaps
 from annuary.plans.problems import PROFILE_FLAT
+from annuary.session import cut_lineage, numbered, salted_join
 
 from .conftest import job
 
@@ -173,3 +174,48 @@ def test_profile_lists_keep_every_field(spark, profiles):
     # Equal objects are one node, equal lists one root.
     assert tables[0].count() == 3 and tables[0].select("root").distinct().count() == 2
     assert tables[1].where("content like '%asst%'").count() == 1
+
+
+DEEP = 20_000
+
+
+def test_pages_nested_to_any_depth(spark):
+    deep = '{"scientists": [{"education": [' + '{"x": [' * DEEP + '"end"' + "]}" * DEEP + ', "B.A"]}]}'
+    rows = [
+        (1, "ok", deep),
+        (2, "ok", '{"scientists": {"societies": "AAAS", "education": [[{"year": 1900}], null, [[]]]}}'),
+        (3, "ok", '{"scientists": [{"education": [' * 3_000),
+        (4, "ok", "[]"),
+        (5, "ok", None),
+        (6, "failed", deep),
+        (7, None, "{}"),
+    ]
+    df = spark.createDataFrame(rows, "record_id bigint, status string, raw_json string").withColumn("root", F.lit("clash"))
+    records, nodes, edges = nested.merkle_tables(df)
+    got = {tuple(r) for r in nested.list_items(records, edges).select("record_id", "scientist_pos", "list_name", "item_pos").collect()}
+    assert got == {(1, 0, "education", 0), (1, 0, "education", 1), (2, 0, "societies", 0), (2, 0, "education", 0), (2, 0, "education", 2)}
+    assert {tuple(r) for r in nested.unread_records(df).collect()} == {(3, "damaged"), (4, "damaged"), (5, "no text"), (6, "status failed"), (7, "status ")}
+    # The object inside the inner list has an identity and an edge of its own.
+    inner = nodes.where("content = '{\"year\": 1900}'").first()["node"]
+    assert edges.where(F.col("child") == F.lit(inner)).first()["field"] == ""
+    assert nodes.where("content = '\"end\"'").count() == 1
+
+
+def test_parser_for_deep_texts_agrees_with_the_usual_one():
+    whole = ['{"a": [1, -2.5e3, "x\\"\\u00e9", true, null, {}, []], "b": {"c": [[1], [2, {"d": "e"}]]}}', " [ ] ", '"s"', "12", '{"a":1,"a":2}']
+    for text in whole:
+        assert nested._parse_deep(text) == json.loads(text)
+    for text in ["", "{", "[1,]", '{"a" 1}', '{"a":}', "[1 2]", '{"a":1,}', "tru", "[1]]", '"open', "{1:2}"]:
+        with pytest.raises(ValueError):
+            nested._parse_deep(text)
+
+
+def test_salted_join_and_numbers(spark):
+    left = spark.range(20_000).select(F.when(F.col("id") < 15_000, 1).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (15_000, "c")], "k bigint, v string")
+    got = salted_join(cut_lineage(left), right, ["k"], F.col("id"), 8)
+    assert got.count() == got.distinct().count() == 30_001 and set(got.columns) == {"k", "id", "v"}
+    placed = numbered(left.repartition(5), [F.desc("k"), F.asc("id")])
+    want = left.orderBy(F.desc("k"), "id").toPandas()["id"].tolist()
+    assert placed.orderBy("ordinal").toPandas()["id"].tolist() == want and tuple(placed.agg(F.min("ordinal"), F.max("ordinal")).first()) == (1, 20_000)
+    assert numbered(left.where("id < 0"), [F.asc("id")]).count() == 0
