@@ -3,8 +3,9 @@
 A typed name is taken apart into stem, kind words and town (orgnames). Two stems within K edits share, if one
 is cut into K + 1 segments, at least one segment unharmed, at most K places from where it was. So segments of
 every stem go into an inverted index, the shifted substrings of every stem look them up, and a banded edit
-distance verifies the hits. Every spelling then points to the heaviest near spelling; following the pointers
-gives the organisation.
+distance verifies the hits. Stems cut short are looked up in the same way, with one edit, among the beginnings
+of the others, and initials with none. Every spelling then points to the heaviest near spelling; following the
+pointers gives the organisation.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ from pyspark.sql import functions as F
 
 from annuary.llm.canonical import plain_city
 from annuary.llm.orgnames import NO_PLACE, PREFIX_WORDS, fold, parse
-from annuary.session import cut_lineage, fan_out
+from annuary.session import cut_lineage, fan_out, salted_join
 
 #: Edits between two spellings of one stem.
 K = 2
-#: Spread of the rows of one organisation when its pairs are written out.
-SALT = 8
+#: Over how many parts the rows of an organisation or a spelling that very many rows share are spread.
+SALT = 32
 
 _WORD = re.compile(r"[^\W_]+")
 _PARTS = "institution string, city string, spelling string, stem string, head string, kind string, of boolean, cut boolean, initials string, town string"
@@ -51,7 +52,7 @@ def spellings(bridge: DataFrame) -> DataFrame:
     parsed = fan_out(rows.select("institution", "city").where("institution is not null").distinct()).mapInPandas(_parse_batches, _PARTS)
     named = rows.alias("r").join(parsed.alias("p"), (F.col("r.institution") == F.col("p.institution")) & F.col("r.city").eqNullSafe(F.col("p.city")))
     return named.select("bridge_id", "shard", "n_events", "spelling", "stem", "head", "kind", "of", "cut", "initials", "town").withColumn(
-        "node", F.xxhash64("shard", "stem", "head", "kind", "of", "cut", "initials")
+        "node", F.unhex(F.md5(F.to_json(F.struct("shard", "stem", "head", "kind", "of", "cut", "initials"))))
     )
 
 
@@ -67,79 +68,106 @@ def nodes_of(rows: DataFrame) -> DataFrame:
     return weights.join(towns, "node", "left")
 
 
-def _segment(length: Column, i: Column) -> tuple[Column, Column]:
-    """Where segment i of K + 1 begins in a text of the given length (from 0), and how long it is."""
-    begin = F.floor(i * length / (K + 1)).cast("int")
-    return begin, F.floor((i + 1) * length / (K + 1)).cast("int") - begin
+def limit_of(length: int) -> int:
+    """Edits that a stem of this length may have: none up to 3 letters, one up to 5, else K."""
+    return 0 if length <= 3 else min(1, K) if length <= 5 else K
 
 
-def segment_pairs(nodes: DataFrame) -> DataFrame:
-    """(x, y) candidate pairs, in both directions, of full stems of one shard and head that share a segment."""
-    full = nodes.where("not cut and initials = '' and stem <> ''").withColumn("length", F.length("stem"))
-    each = F.sequence(F.lit(0), F.lit(K))
+def selections(edits: int) -> list[tuple[int, int, int]]:
+    """(longer by, segment, shift): which substrings of a text can be an unharmed segment of another within edits.
+
+    Of two texts within so many edits, one cut into edits + 1 segments, some segment i is unharmed while fewer
+    than i edits lie before it or fewer than edits - i after it. Counted from the left it has then moved by at
+    most i places, counted from the right, where the difference in length shows, by at most edits - i.
+    """
+    return [
+        (d, i, s)
+        for d in range(-edits, edits + 1)
+        for i in range(edits + 1)
+        for s in range(-edits, edits + 1)
+        if abs(s) <= i and abs(s - d) <= edits - i
+    ]
+
+
+def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
+    """Where segment i of so many begins in a text of the given length (from 0), and how long it is."""
+    begin = F.floor(i * length / parts).cast("int")
+    return begin, F.floor((i + 1) * length / parts).cast("int") - begin
+
+
+def _edits(length: Column) -> Column:
+    return F.when(length <= 3, 0).when(length <= 5, min(1, K)).otherwise(K)
 
-    def own_segment(i: Column) -> Column:
-        begin, size = _segment(F.col("length"), i)
-        return F.col("stem").substr(begin + 1, size)
 
+def _pieces(text: str, rows: list[tuple[Column, Column, int, Column, Column]]) -> Column:
+    """Array of struct<length, i, segment> of the text's substrings (when, length, i, at, size) that exist."""
+    c = F.col(text)
+    made = [F.when(when & (at >= 0) & (size > 0) & (at + size <= F.length(c)), F.named_struct(F.lit("length"), n.cast("int"), F.lit("i"), F.lit(i), F.lit("segment"), c.substr(at + 1, size))) for when, n, i, at, size in rows]
+    return F.array_compact(F.array(*made))
+
+
+def segment_pairs(nodes: DataFrame) -> DataFrame:
+    """(x, y, d), in both directions: full stems of one shard and head with the edits between them, as many as allowed.
+
+    Kinds must be equal, or one of the two a bare stem. A pair may come several times.
+    """
+    full = nodes.where("not cut and initials = '' and stem <> ''").withColumn("n", F.length("stem"))
+    n = F.col("n")
+    own, wanted = [], []
+    for edits in sorted({limit_of(k) for k in range(12)}):
+        own += [(_edits(n) == edits, n, i, *_segment(n, i, edits + 1)) for i in range(edits + 1)]
+        for d, i, shift in selections(edits):
+            begin, size = _segment(n - d, i, edits + 1)
+            wanted.append((_edits(n - d) == edits, n - d, i, begin + shift, size))
     # A bare stem may also have lost the direction before it.
     any_head = F.when(F.col("under") == "*", F.lit("*")).otherwise(F.col("head")).alias("head")
-    indexed = full.select(
-        F.col("node").alias("y"),
-        "shard",
-        "head",
-        "length",
-        F.explode(F.when(F.col("kind") == "", F.array(F.lit(""))).otherwise(F.array(F.col("kind"), F.lit("*")))).alias("under"),
-        "stem",
-    ).select("y", "shard", any_head, "length", "under", F.posexplode(F.transform(each, own_segment)).alias("i", "segment"))
-    lengths = F.filter(F.transform(F.sequence(F.lit(-K), F.lit(K)), lambda d: F.col("length") + d), lambda n: n > K)
-    shifts = F.sequence(F.lit(-K), F.lit(K))
-
-    def cuts(n: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                each,
-                lambda i: F.transform(
-                    shifts,
-                    lambda s: F.named_struct(
-                        F.lit("length"), n, F.lit("i"), i, F.lit("at"), _segment(n, i)[0] + s, F.lit("size"), _segment(n, i)[1]
-                    ),
-                ),
-            )
-        )
-
-    wanted = F.filter(F.flatten(F.transform(lengths, cuts)), lambda c: (c["at"] >= 0) & (c["at"] + c["size"] <= F.col("length")))
-    probe = (
-        full.select(
-            F.col("node").alias("x"),
-            "shard",
-            "head",
-            "stem",
-            F.explode(F.when(F.col("kind") == "", F.array(F.lit(""), F.lit("*"))).otherwise(F.array(F.col("kind")))).alias("under"),
-            wanted.alias("wanted"),
-        )
-        .select("x", "shard", any_head, "stem", "under", F.explode("wanted").alias("w"))
-        .select("x", "shard", "head", "under", F.col("w.length").alias("length"), F.col("w.i").alias("i"), F.col("stem").substr(F.col("w.at") + 1, F.col("w.size")).alias("segment"))
-        .distinct()
-    )
-    return probe.join(indexed, ["shard", "head", "under", "length", "i", "segment"]).where("x <> y").select("x", "y").distinct()
+    kinds = lambda bare, other: F.explode(F.when(F.col("kind") == "", bare).otherwise(other)).alias("under")
+    index = full.select(F.col("node").alias("y"), "shard", "head", F.col("stem").alias("y_stem"), kinds(F.array(F.lit("")), F.array(F.col("kind"), F.lit("*"))), _pieces("stem", own).alias("w"))
+    probe = full.select(F.col("node").alias("x"), "shard", "head", F.col("stem").alias("x_stem"), kinds(F.array(F.lit(""), F.lit("*")), F.array(F.col("kind"))), _pieces("stem", wanted).alias("w"))
+    index = index.select("y", "y_stem", "shard", any_head, "under", F.explode("w").alias("w")).select("y", "y_stem", "shard", "head", "under", "w.*")
+    probe = probe.select("x", "x_stem", "shard", any_head, "under", F.explode("w").alias("w")).select("x", "x_stem", "shard", "head", "under", "w.*")
+    near = probe.join(index, ["shard", "head", "under", "length", "i", "segment"]).where("x <> y").withColumn("d", F.levenshtein("x_stem", "y_stem", K))
+    return near.where((F.col("d") >= 0) & (F.col("d") <= _edits(F.least(F.length("x_stem"), F.length("y_stem"))))).select("x", "y", "d")
 
 
 def beginning_pairs(nodes: DataFrame) -> DataFrame:
-    """(x, y): stems cut short, and full stems of the same shard, head and kind that may begin like them."""
-    key = lambda: F.explode(F.array(F.concat(F.lit("a"), F.substring("stem", 1, 3)), F.concat(F.lit("b"), F.substring("stem", 3, 3)))).alias("key")
-    cut = nodes.where("cut").select(F.col("node").alias("x"), "shard", "head", "kind", key())
-    full = nodes.where("not cut and initials = '' and stem <> ''").select(F.col("node").alias("y"), "shard", "head", "kind", key())
-    return cut.join(full, ["shard", "head", "kind", "key"]).select("x", "y").distinct()
+    """(x, y, d): stems cut short, and full stems of the same shard, head and kind that begin like them.
+
+    The beginning may have one edit if it has more than three letters. It is cut into two segments then, and
+    looked up among the segments of all beginnings of full stems of its length, or of a whole stem one shorter.
+    """
+    h = lambda m: F.floor(m / 2).cast("int")
+    cut = nodes.where("cut and stem <> ''").withColumn("m", F.length("stem"))
+    m = F.col("m")
+    own = [(m <= 3, m, 0, F.lit(0), m), (m > 3, m, 0, F.lit(0), h(m)), (m > 3, m, 1, h(m), m - h(m))]
+    probe = cut.select(F.col("node").alias("x"), F.col("stem").alias("x_stem"), "shard", "head", "kind", F.explode(_pieces("stem", own)).alias("w")).select("x", "x_stem", "shard", "head", "kind", "w.*")
+    full = nodes.where("not cut and initials = '' and stem <> ''").withColumn("n", F.length("stem"))
+
+    def piece(size: Column, i: int, at: Column, long: Column) -> Column:
+        return F.named_struct(F.lit("length"), size, F.lit("i"), F.lit(i), F.lit("segment"), F.col("stem").substr(at + 1, long))
+
+    def of_length(size: Column) -> Column:
+        # A whole stem one letter shorter than the cut one stands one place further left at its end.
+        moved = F.when(size > F.col("n"), 1).otherwise(0)
+        return F.when(size <= 3, F.array(piece(size, 0, F.lit(0), size))).otherwise(F.array(piece(size, 0, F.lit(0), h(size)), piece(size, 1, h(size) - moved, size - h(size))))
+
+    sizes = F.filter(F.sequence(F.lit(1), F.col("n") + 1), lambda k: (k <= F.col("n")) | (k > 3))
+    index = full.select(F.col("node").alias("y"), F.col("stem").alias("y_stem"), "shard", "head", "kind", F.explode(F.flatten(F.transform(sizes, of_length))).alias("w")).select("y", "y_stem", "shard", "head", "kind", "w.*")
+    near = probe.join(index, ["shard", "head", "kind", "length", "i", "segment"])
+    d = F.levenshtein(F.col("x_stem"), F.expr("substr(y_stem, 1, length(x_stem))"), 1)
+    return near.withColumn("d", d).where("d >= 0").select("x", "y", "d")
 
 
 def initial_pairs(nodes: DataFrame) -> DataFrame:
-    """(x, y): names that are only initials, and full names of the shard with those initials."""
+    """(x, y, d): names that are only initials, and full names of the shard with those initials.
+
+    Initials allow no edit, so they are one segment.
+    """
     words = F.filter(F.split(F.concat_ws(" ", "head", "stem", "kind"), " "), lambda w: w != "")
     full = nodes.where("not cut and initials = '' and stem <> '' and kind <> ''").select(
         F.col("node").alias("y"), "shard", F.array_join(F.array_sort(F.transform(words, lambda w: F.substring(w, 1, 1))), "").alias("initials")
     )
-    return nodes.where("initials <> ''").select(F.col("node").alias("x"), "shard", "initials").join(full, ["shard", "initials"]).select("x", "y")
+    return nodes.where("initials <> ''").select(F.col("node").alias("x"), "shard", "initials").join(full, ["shard", "initials"]).select("x", "y", F.lit(0).alias("d"))
 
 
 def parents(nodes: DataFrame) -> DataFrame:
@@ -147,25 +175,25 @@ def parents(nodes: DataFrame) -> DataFrame:
     pairs = segment_pairs(nodes).unionByName(beginning_pairs(nodes)).unionByName(initial_pairs(nodes))
     side = lambda p: nodes.select(*[F.col(c).alias(f"{p}_{c}") for c in ("node", "stem", "head", "kind", "of", "cut", "initials", "weight", "n_forms", "town")])
     both = pairs.join(side("x"), F.col("x") == F.col("x_node")).join(side("y"), F.col("y") == F.col("y_node"))
-    whole = F.levenshtein("x_stem", "y_stem", K)
-    start = F.levenshtein(F.col("x_stem"), F.expr("substr(y_stem, 1, length(x_stem))"), 1)
-    d = F.when(F.col("x_initials") != "", F.lit(0)).when(F.col("x_cut"), start).otherwise(whole)
-    short = F.least(F.length("x_stem"), F.length("y_stem"))
-    near = (d >= 0) & ((F.col("x_initials") != "") | F.col("x_cut") | (d <= F.when(short <= 3, 0).when(short <= 5, 1).otherwise(K)))
+    d = F.col("d")
     apart = F.coalesce(F.levenshtein("x_town", "y_town") > 2, F.lit(False))
+    together = F.col("x_town").isNotNull() & F.col("y_town").isNotNull() & ~apart
     heavier = F.struct("y_weight", "y") > F.struct(F.col("x_weight").alias("y_weight"), F.col("x").alias("y"))
     bare = (F.col("x_kind") == "") & (F.col("y_kind") != "")
     # 'University of X' and 'X University' may be two; only a lone spelling is taken to have lost or won an 'of'.
     same_of = F.col("x_of") == F.col("y_of")
     same_kind, same_head = F.col("x_kind") == F.col("y_kind"), F.col("x_head") == F.col("y_head")
+    # Two separate edits are as often another name; a swap of neighbours is one slip.
+    letters = lambda c: F.array_sort(F.split(c, ""))
+    sure = (d < K) | together | (letters("x_stem") == letters("y_stem"))
+    full = (F.col("x_initials") == "") & ~F.col("x_cut")
     allowed = (
-        (F.col("x_initials") != "") & ~apart
+        ((F.col("x_initials") != "") & ~apart)
         | F.col("x_cut")
-        | ((F.col("x_initials") == "") & ~F.col("x_cut") & ((bare & (same_head | (F.col("x_head") == ""))) | (same_head & same_kind & heavier & ~(apart & (F.col("x_n_forms") > 1)) & (same_of | (~apart & (F.col("x_n_forms") == 1))))))
+        | (full & sure & ((bare & (same_head | (F.col("x_head") == ""))) | (same_head & same_kind & heavier & ~(apart & (F.col("x_n_forms") > 1)) & (same_of | (~apart & (F.col("x_n_forms") == 1))))))
     )
-    known = F.when(F.col("x_town").isNotNull() & F.col("y_town").isNotNull() & ~apart, 0).otherwise(1)
-    rank = F.struct((~bare & (F.col("x_kind") == "")).alias("r0"), (~bare & ~same_of).alias("r0b"), apart.alias("r1"), known.alias("r2"), d.alias("r3"), (F.col("x_stem") != F.col("y_stem")).alias("r3b"), (~same_head).alias("r3c"), (-F.col("y_weight")).alias("r4"), F.col("y").alias("r5"))
-    return both.where(near & allowed).groupBy("x").agg(F.min_by("y", rank).alias("y"))
+    rank = F.struct((~bare & (F.col("x_kind") == "")).alias("r0"), (~bare & ~same_of).alias("r0b"), apart.alias("r1"), (~together).alias("r2"), d.alias("r3"), (F.col("x_stem") != F.col("y_stem")).alias("r3b"), (~same_head).alias("r3c"), (-F.col("y_weight")).alias("r4"), F.col("y").alias("r5"))
+    return both.where(allowed).groupBy("x").agg(F.min_by("y", rank).alias("y"))
 
 
 def organisations(nodes: DataFrame) -> DataFrame:
@@ -185,13 +213,24 @@ def organisation_of(bridge: DataFrame) -> DataFrame:
     Null and blank strings, and those that name no organisation, have no row. Repeated rows each have one.
     """
     rows = cut_lineage(spellings(bridge))
-    nodes = cut_lineage(nodes_of(rows))
-    return rows.select("bridge_id", "shard", "node").join(organisations(nodes), "node").select("bridge_id", "shard", "root")
+    nodes = cut_lineage(fan_out(nodes_of(rows)))  # a node gives dozens of segments
+    roots = organisations(nodes)
+    return salted_join(rows.select("bridge_id", "shard", "node"), roots, ["node"], F.col("bridge_id"), SALT).select("bridge_id", "shard", "root")
+
+
+def organisation_classes(bridge: DataFrame) -> DataFrame:
+    """(bridge_id, organisation, n_links) of every row that names an organisation.
+
+    organisation is the smallest bridge_id of its class, n_links the number of the other rows of the class.
+    """
+    rows = cut_lineage(organisation_of(bridge))
+    classes = rows.groupBy("shard", "root").agg(F.min("bridge_id").alias("organisation"), (F.count("*") - 1).alias("n_links"))
+    return salted_join(rows, classes, ["root"], F.col("bridge_id"), SALT).select("bridge_id", "organisation", "n_links")
 
 
 def linked_rows(bridge: DataFrame) -> DataFrame:
     """(bridge_id_a, bridge_id_b), smaller first: all rows of one shard that name the same organisation."""
-    rows = cut_lineage(organisation_of(bridge))
-    left = rows.select(F.col("bridge_id").alias("a"), "shard", "root", F.pmod(F.xxhash64("bridge_id"), F.lit(SALT)).cast("int").alias("salt"))
-    right = rows.select(F.col("bridge_id").alias("b"), "shard", "root", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
-    return left.join(right, ["shard", "root", "salt"]).where("a < b").select(F.col("a").alias("bridge_id_a"), F.col("b").alias("bridge_id_b"))
+    rows = cut_lineage(organisation_of(bridge).select("bridge_id", "root"))
+    other = rows.withColumnRenamed("bridge_id", "b")
+    pairs = salted_join(rows.withColumnRenamed("bridge_id", "a"), other, ["root"], F.col("a"), SALT)
+    return pairs.where("a < b").select(F.col("a").alias("bridge_id_a"), F.col("b").alias("bridge_id_b"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from dataclasses import dataclass
+from functools import lru_cache
 
 #: Kind words of organisations and the abbreviations seen for them.
 KIND_WORDS = {
@@ -65,8 +66,10 @@ _TOKEN = re.compile(r"[^\W_]+")
 
 def fold(text: str) -> str:
     """Lower case without accents and apostrophes, white space collapsed."""
-    flat = unicodedata.normalize("NFKD", text)
-    flat = "".join(c for c in flat if not unicodedata.combining(c)).lower()
+    flat = text
+    if not text.isascii():
+        flat = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    flat = flat.lower()
     return re.sub(r"\s+", " ", re.sub(r"['’`]", "", flat)).strip()
 
 
@@ -95,6 +98,7 @@ def edit_distance(a: str, b: str) -> int:
     return score
 
 
+@lru_cache(maxsize=100_000)
 def _close_kind(token: str) -> str | None:
     """The kind word that a misspelt token stands for, if it is long enough to tell."""
     if len(token) < 5:

@@ -25,6 +25,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return names.linked_rows(read_table(spark, d, "institution_locations_1927"))
 
 
+def p4_organisations(spark: SparkSession, d: str) -> DataFrame:
+    """One row per bridge row that names an organisation, with its class and its number of links."""
+    return names.organisation_classes(read_table(spark, d, "institution_locations_1927"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical.mapped_values(
         spark, read_table(spark, d, "institution_locations_1927"), read_table(spark, d, "scientist_profiles"), read_table(spark, d, "canonical_list")
@@ -56,6 +61,7 @@ QUERIES = {
     "p1_survivors": p1_survivors,
     "p2_found": p2_found,
     "p4_found": p4_found,
+    "p4_organisations": p4_organisations,
     "p5_found": p5_found,
     "p8_packing": p8_packing,
     "p9_found": p9_found,
