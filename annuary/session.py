@@ -80,18 +80,18 @@ def hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return counted.where(F.col("_n") > max(HOT_LEAST, int(rows.count() * HOT_SHARE))).select(*keys)
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: Column, parts: int) -> DataFrame:
-    """Inner join on keys, where the left rows of each hot key are dealt over parts by the hash of spread_by.
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: Column, parts: int, how: str = "inner") -> DataFrame:
+    """Inner or left join on keys, where the left rows of each hot key are dealt over parts by the hash of spread_by.
 
     Only the right rows of hot keys are copied, so both sides keep their size. left should be written down
     (cut_lineage), since it is counted first. The broadcast is the list of hot keys, which is bounded.
     """
     hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
-    dealt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int")).otherwise(F.lit(0))
+    dealt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int")).otherwise(0)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
     a = left.join(hot, keys, "left").withColumn("_part", dealt).drop("_hot")
     b = right.join(hot, keys, "left").withColumn("_part", F.explode(copies)).drop("_hot")
-    return a.join(b, [*keys, "_part"]).drop("_part")
+    return a.join(b, [*keys, "_part"], how).drop("_part")
 
 
 def numbered(rows: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
