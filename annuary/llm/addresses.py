@@ -4,9 +4,8 @@ An address is taken apart into house number, direction, street, street kind, tow
 an address are its house number joined with the beginnings and ends of its street and town, so a misprint
 spares some of them; a short street is a token as a whole. Each address is indexed under its rarest tokens
 that any other address shares; every address probes with all its tokens, the fuller one thus finding the less
-full. A candidate pair is verified:
-what the less full address says must be contained in the other, up to misprints, and no component may
-contradict.
+full. A candidate pair is verified by weighted containment: of the weight of what the less full address says,
+CONTAINED at least must be in the other, up to misprints, and no component may contradict.
 """
 
 from __future__ import annotations
@@ -16,12 +15,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annuary.llm.canonical import plain_city
+from annuary.llm.classes import components
 from annuary.llm.orgnames import KIND_WORDS, PREFIX_WORDS, edit_distance, fold
-from annuary.session import fan_out
+from annuary.session import cut_lineage, fan_out, salted_join
 
 #: Kinds of streets and their short forms.
 STREET_KINDS = {
@@ -60,8 +60,14 @@ REGIONS = {
 #: Words that begin a line naming a department.
 DEPARTMENT_WORDS = {"dept", "department", "dep", "dep't", "dept."}
 
-#: Tokens under which an address is indexed.
+#: Tokens under which an address is indexed: a damaged word spoils two of them, so one is left. More would put
+#: the tokens that every town has (a number and a common street) into the index.
 INDEX_TOKENS = 3
+#: What the components weigh in the containment, about the bits that each tells; and the share that must be contained.
+WEIGHTS = {"number": 8.0, "street": 9.0, "town": 8.0, "region": 4.0, "kind": 2.0, "direction": 2.0}
+CONTAINED = 0.6
+#: Over how many parts the addresses of a token, or the rows of a text, that very many share are spread.
+SALT = 32
 #: Letters of a street up to which it gives whole-word tokens; these are all indexed, beside the rarest others.
 SHORT = 4
 _KIND = {short: word for word, shorts in STREET_KINDS.items() for short in shorts}
@@ -220,14 +226,11 @@ def alike(a: str, b: str) -> bool:
     return abs(len(a) - len(b)) <= limit and edit_distance(a, b) <= limit
 
 
-def same_town(a: str, b: str) -> bool:
-    if alike(a, b):
-        return True
-    x, y = a.split(), b.split()
-    heads = {"saint", "mount", "fort", "north", "south", "east", "west"}
-    if (x and x[0] in heads) != (y and y[0] in heads) or (x and y and x[0] in heads and x[0] != y[0]):
-        return False
-    return False
+def contained(a: Address, b: Address) -> float:
+    """The share of the weight of what the less full address says that the other says too, up to misprints."""
+    both = [f for f in WEIGHTS if getattr(a, f) and getattr(b, f) and alike(getattr(a, f), getattr(b, f))]
+    said = [sum(w for f, w in WEIGHTS.items() if getattr(x, f)) for x in (a, b)]
+    return sum(WEIGHTS[f] for f in both) / min(said) if min(said) else 0.0
 
 
 def same_place(a: Address, b: Address) -> bool:
@@ -243,11 +246,36 @@ def same_place(a: Address, b: Address) -> bool:
         return False
     if a.direction != b.direction and a.direction and b.direction:
         return False
+    if contained(a, b) < CONTAINED:
+        return False
     if a.town and b.town:
-        return same_town(a.town, b.town)
+        return alike(a.town, b.town)
     return a.kind == b.kind and a.direction == b.direction and (not a.region or not b.region or a.region == b.region)
 
 
+def _alike(a: str, b: str) -> Column:
+    """alike, on two columns."""
+    n = F.greatest(F.length(a), F.length(b))
+    limit = F.when(n < 5, 1).when(n < 8, 2).otherwise(3)
+    return (F.col(a) == F.col(b)) | ((F.abs(F.length(a) - F.length(b)) <= limit) & (F.levenshtein(a, b) <= limit))
+
+
+def is_same_place() -> Column:
+    """same_place, on the columns a_<component> and b_<component>."""
+    said = lambda s, f: F.col(f"{s}_{f}") != ""
+    both = lambda f: said("a", f) & said("b", f)
+    equal = lambda f: F.col(f"a_{f}") == F.col(f"b_{f}")
+    weight = lambda f, when: F.when(when, WEIGHTS[f]).otherwise(0.0)
+    total = lambda s: sum((weight(f, said(s, f)) for f in WEIGHTS), F.lit(0.0))
+    common = sum((weight(f, both(f) & _alike(f"a_{f}", f"b_{f}")) for f in WEIGHTS), F.lit(0.0))
+    place = F.when(both("town"), _alike("a_town", "b_town")).otherwise(equal("kind") & equal("direction") & (~both("region") | equal("region")))
+    return (
+        said("a", "number") & equal("number") & both("street") & _alike("a_street", "b_street")
+        & (~both("kind") | equal("kind")) & (~both("direction") | equal("direction"))
+        & place & (common >= F.least(total("a"), total("b")) * CONTAINED)
+    )
+
+
 _PARTS = "mailing_address string, mailing_city string, number string, direction string, street string, kind string, town string, region string, tokens array<string>"
 
 
@@ -265,45 +293,36 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _FIELDS = ("number", "direction", "street", "kind", "town", "region")
 
 
-def _verify_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        keep = []
-        for r in batch.itertuples(index=False):
-            x = Address(*[getattr(r, f"a_{f}") for f in _FIELDS])
-            y = Address(*[getattr(r, f"b_{f}") for f in _FIELDS])
-            keep.append(same_place(x, y))
-        yield batch.loc[keep, ["a", "b"]]
-
-
 def located(rows: DataFrame) -> DataFrame:
     """Distinct (mailing_address, mailing_city) with components, tokens and a place number for equal components."""
     texts = rows.where(F.col("mailing_address").rlike(r"(?U)\S")).select("mailing_address", "mailing_city").distinct()
-    return fan_out(texts).mapInPandas(_parse_batches, _PARTS).withColumn("place", F.xxhash64(*_FIELDS))
+    return fan_out(texts).mapInPandas(_parse_batches, _PARTS).withColumn("place", F.unhex(F.md5(F.to_json(F.struct(*_FIELDS)))))
 
 
 def place_links(places: DataFrame) -> DataFrame:
     """(a, b) with a < b: numbers of distinct component sets that denote one location."""
-    one = places.select("place", *_FIELDS, "tokens").dropDuplicates(["place"])
+    one = cut_lineage(places.where("number <> '' and street <> ''").select("place", *_FIELDS, "tokens").dropDuplicates(["place"]))
     tokens = one.select("place", F.explode("tokens").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     whole = F.col("token").contains("=")
-    ranked = tokens.join(common, "token").withColumn("r", F.row_number().over(Window.partitionBy("place", whole).orderBy("n", "token")))
+    ranked = cut_lineage(tokens.join(common, "token").withColumn("r", F.row_number().over(Window.partitionBy("place", whole).orderBy("n", "token"))))
     index = ranked.where(whole | (F.col("r") <= INDEX_TOKENS)).select("token", F.col("place").alias("i"))
     probe = ranked.select("token", F.col("place").alias("p"))
-    pairs = probe.join(index, "token").where("p <> i").select(F.least("p", "i").alias("a"), F.greatest("p", "i").alias("b")).distinct()
+    pairs = salted_join(probe, index, ["token"], F.col("p"), SALT).where("p <> i").select(F.least("p", "i").alias("a"), F.greatest("p", "i").alias("b")).distinct()
     left = one.select(F.col("place").alias("a"), *[F.col(f).alias(f"a_{f}") for f in _FIELDS])
     right = one.select(F.col("place").alias("b"), *[F.col(f).alias(f"b_{f}") for f in _FIELDS])
-    return pairs.join(left, "a").join(right, "b").mapInPandas(_verify_batches, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").where(is_same_place()).select("a", "b")
 
 
-def same_location(profiles: DataFrame, materialise=lambda df: df) -> DataFrame:
+def same_location(profiles: DataFrame) -> DataFrame:
     """(profile_id_a, profile_id_b), smaller first: rows whose differing address texts denote the same location.
 
     Rows with a null or blank address take part in no pair, nor do rows with the very same text. An address
-    without a house number or a street is not located and pairs with none. An empty table gives no rows.
+    without a house number or a street is not located and pairs with none. An empty table gives no rows, a
+    profile_id that occurs twice does not pair with itself.
     """
-    rows = profiles.select(F.col("profile_id").cast("bigint").alias("profile_id"), "mailing_address", "mailing_city")
-    places = materialise(located(rows))
+    rows = cut_lineage(profiles.select(F.col("profile_id").cast("bigint").alias("profile_id"), "mailing_address", "mailing_city"))
+    places = cut_lineage(located(rows))
     links = place_links(places)
     usable = places.where("number <> '' and street <> ''").select("place").distinct()
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(usable.select(F.col("place").alias("a"), F.col("place").alias("b")))
@@ -313,16 +332,31 @@ def same_location(profiles: DataFrame, materialise=lambda df: df) -> DataFrame:
         .join(texts.select(F.col("place").alias("b"), F.col("mailing_address").alias("tb"), F.col("mailing_city").alias("cb")), "b")
         .where("ta < tb")
         .select("ta", "ca", "tb", "cb")
-        .distinct()
     )
+    # The rows of a text are dealt out where it is hot, and the partners of the text are copied to them.
     known = rows.where(F.col("mailing_address").isNotNull())
     a = known.select(F.col("profile_id").alias("x"), F.col("mailing_address").alias("ta"), F.col("mailing_city").alias("ca_"))
     b = known.select(F.col("profile_id").alias("y"), F.col("mailing_address").alias("tb"), F.col("mailing_city").alias("cb_"))
-    out = (
-        matched.join(a, "ta")
-        .where(F.col("ca").eqNullSafe(F.col("ca_")))
-        .join(b, "tb")
-        .where(F.col("cb").eqNullSafe(F.col("cb_")))
-        .select(F.least("x", "y").alias("profile_id_a"), F.greatest("x", "y").alias("profile_id_b"))
-    )
-    return out.distinct()
+    first = salted_join(a, matched, ["ta"], F.col("x"), SALT).where(F.col("ca").eqNullSafe(F.col("ca_"))).select("x", "tb", "cb")
+    out = salted_join(b, first, ["tb"], F.col("y"), SALT).where(F.col("cb").eqNullSafe(F.col("cb_")) & (F.col("x") != F.col("y")))
+    return out.select(F.least("x", "y").alias("profile_id_a"), F.greatest("x", "y").alias("profile_id_b"))
+
+
+def place_classes(profiles: DataFrame) -> DataFrame:
+    """(profile_id, place, n_links) of every row whose address is located.
+
+    place is the smallest profile_id of the class of rows that links connect, n_links the number of other ways
+    to write the row's own address that are linked with it directly.
+    """
+    rows = cut_lineage(profiles.select(F.col("profile_id").cast("bigint").alias("profile_id"), "mailing_address", "mailing_city"))
+    places = cut_lineage(located(rows)).where("number <> '' and street <> ''")
+    texts = places.select("place", F.col("mailing_address").alias("text"), F.col("mailing_city").alias("city"))
+    hit = (F.col("r.mailing_address") == F.col("t.text")) & F.col("r.mailing_city").eqNullSafe(F.col("t.city"))
+    placed = cut_lineage(rows.alias("r").join(texts.alias("t"), hit).select("r.profile_id", "t.place"))
+    number = placed.groupBy("place").agg(F.min("profile_id").alias("node"))
+    links = cut_lineage(place_links(places))
+    ids = links.join(number.withColumnsRenamed({"place": "a", "node": "x"}), "a").join(number.withColumnsRenamed({"place": "b", "node": "y"}), "b")
+    labels = components(ids.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")))
+    degree = links.select(F.explode(F.array("a", "b")).alias("place")).groupBy("place").agg(F.count("*").alias("n_links"))
+    classes = number.join(labels, "node", "left").join(degree, "place", "left").select("place", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
+    return salted_join(placed, classes, ["place"], F.col("profile_id"), SALT).select("profile_id", F.col("label").alias("place"), "n_links")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from annuary.llm import addresses, canonical, language, leakage, names, packing, survivors
-from annuary.session import cut_lineage, read_table
+from annuary.session import read_table
 
 
 def p1_survivors(spark: SparkSession, d: str) -> DataFrame:
@@ -18,7 +18,12 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return addresses.same_location(read_table(spark, d, "scientist_profiles"), cut_lineage)
+    return addresses.same_location(read_table(spark, d, "scientist_profiles"))
+
+
+def p2_places(spark: SparkSession, d: str) -> DataFrame:
+    """One row per row whose address is located, with its class and its number of links."""
+    return addresses.place_classes(read_table(spark, d, "scientist_profiles"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -60,6 +65,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_survivors": p1_survivors,
     "p2_found": p2_found,
+    "p2_places": p2_places,
     "p4_found": p4_found,
     "p4_organisations": p4_organisations,
     "p5_found": p5_found,
