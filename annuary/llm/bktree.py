@@ -1,33 +1,38 @@
-"""A BK-tree over reference entries: every entry within an edit distance, by the triangle inequality."""
+"""BK-trees over reference entries: every entry within an edit distance, by the triangle inequality."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from annuary.llm.orgnames import edit_distance
+from annuary.llm.orgnames import distance_from
 
 
 class BKTree:
-    """Keys may repeat; each carries the list of its values. The distance is Levenshtein's, a metric."""
+    """Keys may repeat; each carries the list of its values. The distance is Levenshtein's, a metric.
+
+    Keys of one length have a tree of their own, since lengths that differ by more than the limit cannot match.
+    """
 
     def __init__(self, items: Iterable[tuple[str, object]] = ()) -> None:
         self.keys: list[str] = []
         self.values: list[list[object]] = []
         self.children: list[dict[int, int]] = []
+        self.roots: dict[int, int] = {}
         for key, value in items:
             self.add(key, value)
 
     def add(self, key: str, value: object) -> None:
-        node = 0
-        if self.keys:
+        new = len(self.keys)
+        node = self.roots.setdefault(len(key), new)
+        if node != new:
+            to = distance_from(key)
             while True:
-                d = edit_distance(key, self.keys[node])
+                d = to(self.keys[node])
                 if d == 0:
                     self.values[node].append(value)
                     return
-                child = self.children[node].get(d)
-                if child is None:
-                    self.children[node][d] = len(self.keys)
+                child = self.children[node].setdefault(d, new)
+                if child == new:
                     break
                 node = child
         self.keys.append(key)
@@ -37,11 +42,12 @@ class BKTree:
     def within(self, key: str, limit: int) -> list[tuple[int, str, list[object]]]:
         """(distance, key, values) of every key within limit, nearest first."""
         out: list[tuple[int, str, list[object]]] = []
-        stack = [0] if self.keys else []
+        stack = [self.roots[n] for n in range(len(key) - limit, len(key) + limit + 1) if n in self.roots]
+        to, keys, children = distance_from(key), self.keys, self.children
         while stack:
             node = stack.pop()
-            d = edit_distance(key, self.keys[node])
+            d = to(keys[node])
             if d <= limit:
-                out.append((d, self.keys[node], self.values[node]))
-            stack += [child for edge, child in self.children[node].items() if d - limit <= edge <= d + limit]
+                out.append((d, keys[node], self.values[node]))
+            stack += [child for edge, child in children[node].items() if d - limit <= edge <= d + limit]
         return sorted(out, key=lambda x: (x[0], x[1]))

@@ -1,9 +1,9 @@
 """Mapping of free-entered values to a reference list by BK-trees.
 
 Values and entries are brought to the same plain form first (case, accents, punctuation, known abbreviations,
-word order); what is left are misprints, and the BK-tree returns every entry within the threshold. The
-reference list is broadcast when it is small, else cut into shards that are searched one after another; the
-best answer of the shards wins. Only distinct values are looked up.
+word order); what is left are misprints, and the BK-tree returns every entry within the threshold. The trees of
+the reference list are built once and broadcast, in shards of bounded size that are searched one after another;
+the best answer of the shards wins. Only distinct values are looked up.
 """
 
 from __future__ import annotations
@@ -20,8 +20,11 @@ from annuary.llm.bktree import BKTree
 from annuary.llm.orgnames import EMPTY_WORDS, PREFIX_WORDS, fold, parse
 from annuary.session import fan_out
 
-#: Entries of one shard of the reference list; each shard is broadcast, so this bounds the broadcast.
-SHARD_ENTRIES = 100_000
+#: Letters of the entries of one shard of the reference list. A shard is broadcast, with its trees some twenty
+#: times as large, so this bounds the broadcast.
+SHARD_LETTERS = 1_000_000
+#: Lookups that a task keeps at hand; bounds memory only.
+REMEMBERED = 50_000
 LIMIT = 2
 
 #: Other names of countries, plain form -> plain form of the usual entry.
@@ -148,15 +151,26 @@ class OrganisationIndex:
         self.entries = [(e, p) for e, p in parsed if p is not None]
         self.stems = BKTree((key, (e, p)) for e, p in self.entries for key in {p.stem, without_head(p.stem)})
         self.beginnings: dict[int, BKTree] = {}
-        self.initials: dict[str, list[tuple]] = {}
-        for e, _ in self.entries:
-            self.initials.setdefault(initials_of(e[1]), []).append(e)
+        self.initials = BKTree((initials_of(e[1]), e) for e, _ in self.entries)
+        self.near: dict[tuple[str, bool], list[tuple]] = {}  # what was found for a stem
 
     def _cut_tree(self, n: int) -> BKTree:
         if n not in self.beginnings:
             self.beginnings[n] = BKTree((p.stem[:n], (e, p)) for e, p in self.entries if len(p.stem) > n)
         return self.beginnings[n]
 
+    def _near(self, stem: str, cut: bool) -> list[tuple]:
+        """(distance, key, entry, its parts, whether it only begins like the stem) of the entries near a stem."""
+        found = self.near.get((stem, cut))
+        if found is None:
+            found = [(d, k, e, q, False) for d, k, v in self.stems.within(stem, LIMIT) if near_enough(stem, k, d) for e, q in v]
+            if cut:
+                found += [(d, k, e, q, True) for d, k, v in self._cut_tree(len(stem)).within(stem, 1) for e, q in v]
+            if len(self.near) >= REMEMBERED:
+                self.near.clear()
+            self.near[stem, cut] = found
+        return found
+
     def candidates(self, value: str) -> list[tuple]:
         """(distance, entry, whether the place must agree) of every entry that is near enough and of the same kind.
 
@@ -166,13 +180,11 @@ class OrganisationIndex:
         if p is None or not (p.stem or p.initials):
             return []
         if p.initials:
-            # Where several entries have the initials, only one whose place agrees will do.
-            found = self.initials.get(p.initials, [])
+            # Initials allow no edit. Where several entries have them, only one whose place agrees will do.
+            found = [e for _, _, v in self.initials.within(p.initials, 0) for e in v]
             return [(0, e, len(found) > 1) for e in found]
         # A bare stem two edits away, or the beginning of one with an edit, could well be another name.
-        found = [(d, e, q, d == LIMIT and not p.kind and not swapped(p.stem, k)) for d, k, v in self.stems.within(p.stem, LIMIT) if near_enough(p.stem, k, d) for e, q in v]
-        if p.cut:
-            found += [(d, e, q, d > 0) for d, k, v in self._cut_tree(len(p.stem)).within(p.stem, 1) for e, q in v]
+        found = [(d, e, q, d > 0 if begins else d == LIMIT and not p.kind and not swapped(p.stem, k)) for d, k, e, q, begins in self._near(p.stem, p.cut)]
         # Only a bare stem may have lost its kind words, or the direction before it.
         return [
             (d + (0.25 if p.kind and p.of != q.of else 0), e, place)
@@ -212,14 +224,21 @@ def build_index(list_name: str, entries: list[tuple]):
     return PlainIndex(entries, {"city": plain_city, "department": plain_subject}.get(list_name, plain))
 
 
-def shards(canonical: DataFrame, list_name: str, size: int = SHARD_ENTRIES) -> Iterator[list[tuple]]:
-    """Entries (ref_id, entry, state, country) of a list in blocks of at most size."""
+def shards(canonical: DataFrame, list_name: str, letters: int = SHARD_LETTERS) -> Iterator[list[tuple]]:
+    """Entries (ref_id, entry, state, country) of a list in blocks of at most so many letters, by length.
+
+    An entry is read once, one block is held at a time.
+    """
     block: list[tuple] = []
-    for r in canonical.where((F.col("list_name") == list_name) & F.col("entry").isNotNull()).select("ref_id", "entry", "state_region", "country").toLocalIterator():
-        block.append(tuple(r))
-        if len(block) == size:
+    held = 0
+    listed = canonical.where((F.col("list_name") == list_name) & F.col("entry").isNotNull())
+    for r in listed.select("ref_id", "entry", "state_region", "country").orderBy(F.length("entry"), "ref_id").toLocalIterator():
+        size = sum(len(x) for x in r if isinstance(x, str))
+        if block and held + size > letters:
             yield block
-            block = []
+            block, held = [], 0
+        block.append(tuple(r))
+        held += size
     if block:
         yield block
 
@@ -239,12 +258,11 @@ def map_values(values: DataFrame, canonical: DataFrame, list_name: str) -> DataF
     spark = values.sparkSession
     hits = None
     for block in shards(canonical, list_name):
-        shared = spark.sparkContext.broadcast(block)
+        shared = spark.sparkContext.broadcast(build_index(list_name, block))
 
         def look(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            index = build_index(list_name, shared.value)
             names = [x.split()[0] for x in _HIT.split(", ")]
-            near = lru_cache(maxsize=50_000)(index.candidates)
+            near = lru_cache(maxsize=REMEMBERED)(shared.value.candidates)
             for batch in batches:
                 rows = []
                 for value, c1, c2 in zip(batch["value"], batch["c1"], batch["c2"], strict=True):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -75,27 +76,35 @@ def fold(text: str) -> str:
 
 def edit_distance(a: str, b: str) -> int:
     """Levenshtein distance by bit-parallel columns."""
-    if a == b:
-        return 0
-    if not a or not b:
-        return len(a) + len(b)
-    full, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    return 0 if a == b else distance_from(a)(b)
+
+
+def distance_from(a: str) -> Callable[[str], int]:
+    """The Levenshtein distance from a, for many comparisons with one text."""
+    if not a:
+        return len
+    full, last, length = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
-    up, down, score = full, 0, len(a)
-    for c in b:
-        eq = where.get(c, 0)
-        xv = eq | down
-        xh = (((eq & up) + up) ^ up) | eq
-        ph, mh = down | ~(xh | up) & full, up & xh
-        if ph & last:
-            score += 1
-        if mh & last:
-            score -= 1
-        ph = (ph << 1 | 1) & full
-        up, down = (mh << 1 & full) | ~(xv | ph) & full, ph & xv
-    return score
+    get = where.get
+
+    def to(b: str) -> int:
+        up, down, score = full, 0, length
+        for c in b:
+            eq = get(c, 0)
+            xv = eq | down
+            xh = (((eq & up) + up) ^ up) | eq
+            ph, mh = down | ~(xh | up) & full, up & xh
+            if ph & last:
+                score += 1
+            elif mh & last:
+                score -= 1
+            ph = (ph << 1 | 1) & full
+            up, down = (mh << 1 & full) | ~(xv | ph) & full, ph & xv
+        return score
+
+    return to
 
 
 @lru_cache(maxsize=100_000)
