@@ -7,6 +7,14 @@ from collections.abc import Iterable
 from annuary.llm.orgnames import distance_from
 
 
+def letters_of(text: str) -> int:
+    """The set of a text's characters as bits, by their codes modulo 64."""
+    out = 0
+    for c in text:
+        out |= 1 << (ord(c) & 63)
+    return out
+
+
 class BKTree:
     """Keys may repeat; each carries the list of its values. The distance is Levenshtein's, a metric.
 
@@ -18,6 +26,7 @@ class BKTree:
         self.values: list[list[object]] = []
         self.children: list[dict[int, int]] = []
         self.roots: dict[int, int] = {}
+        self.letters: list[int] = []  # which letters a key has, as bits
         for key, value in items:
             self.add(key, value)
 
@@ -38,14 +47,18 @@ class BKTree:
         self.keys.append(key)
         self.values.append([value])
         self.children.append({})
+        self.letters.append(letters_of(key))
 
     def within(self, key: str, limit: int) -> list[tuple[int, str, list[object]]]:
         """(distance, key, values) of every key within limit, nearest first."""
         out: list[tuple[int, str, list[object]]] = []
         stack = [self.roots[n] for n in range(len(key) - limit, len(key) + limit + 1) if n in self.roots]
-        to, keys, children = distance_from(key), self.keys, self.children
+        to, keys, children, letters, own = distance_from(key), self.keys, self.children, self.letters, letters_of(key)
         while stack:
             node = stack.pop()
+            # One edit brings in or takes away one letter at most. Where nothing hangs on a node, that is enough.
+            if not children[node] and ((own & ~letters[node]).bit_count() > limit or (letters[node] & ~own).bit_count() > limit):
+                continue
             d = to(keys[node])
             if d <= limit:
                 out.append((d, keys[node], self.values[node]))

@@ -117,6 +117,14 @@ def _close_kind(token: str) -> str | None:
     return best[1] if best and best[0] <= limit else None
 
 
+def _stop_after(word: str, text: str) -> bool:
+    """Whether the word stands in the text with a full stop right after it."""
+    at = text.find(word + ".")
+    while at > 0 and (text[at - 1].isalnum() or text[at - 1] == "_"):
+        at = text.find(word + ".", at + 1)
+    return at >= 0
+
+
 @dataclass(frozen=True)
 class OrgName:
     stem: str  # name words, directions spelt out
@@ -160,7 +168,7 @@ def parse(text: str | None) -> OrgName | None:
             else:
                 here.append(w)
                 # A full stop inside the string ends an abbreviation; the last one may just end the string.
-                cut = re.search(rf"\b{w}\.", segment) is not None and (len(w) < 8 or not flat.endswith(f"{w}."))
+                cut = _stop_after(w, segment) and (len(w) < 8 or not flat.endswith(f"{w}."))
         if any(w not in PREFIX_WORDS for w in here):
             names.append((here, cut))
     if "technische" in kinds or "hochschule" in kinds:
