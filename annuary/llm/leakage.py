@@ -15,6 +15,8 @@ passage therefore keeps a seed, while common turns of phrase are hardly ever loo
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,10 +31,13 @@ from annuary.session import spread
 WINDOW = 16
 ERROR_RATE = 8
 SEED = 3
+#: What a matching word earns in an alignment, and what another, a lost or an added one costs.
+MATCH, COST = 5, 2
 #: Every passage that counts holds a stretch of one of these lengths with one damage in ERROR_RATE at most.
 SPANS = (WINDOW, WINDOW + ERROR_RATE)
-#: Item words that are looked for in one pass over the corpus; a larger set of items is taken in several passes.
-WORDS_PER_PASS = 2_000_000
+#: Letters of items that are looked for in one pass over the corpus; a larger set of items is taken in several
+#: passes. The seeds of a pass are broadcast, about thirty times as large, so this bounds the broadcast.
+LETTERS_PER_PASS = 2_000_000
 
 _HYPHEN = re.compile(r"-[ \t]*\r?\n[ \t]*")
 _MARK = re.compile(r"['’`]")
@@ -79,7 +84,7 @@ def index_items(rows: list[tuple[int, str]]) -> Items:
             words.append(np.array(numbers, dtype=np.int64))
     base = len(vocabulary) + 1
     if base**SEED >= 2**62:
-        raise ValueError("too many different words in one pass; lower WORDS_PER_PASS")
+        raise ValueError("too many different words in one pass; lower LETTERS_PER_PASS")
     coded = [codes(w, base) for w in words]
     grams = np.unique(np.concatenate(coded)) if coded else np.empty(0, dtype=np.int64)
     return Items(ids, vocabulary, words, grams, [np.searchsorted(grams, c) for c in coded])
@@ -121,26 +126,27 @@ def look_up(words: np.ndarray, base: int, grams: np.ndarray) -> tuple[np.ndarray
 
 
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> list[tuple[int, int, int]]:
-    """The best local alignment (match 1, mismatch and gap -1) as (operation, item position, text position).
+    """The best local alignment (match MATCH, mismatch and gap -COST) as (operation, item position, text position).
 
-    Operations: 0 match, 1 substitution, 2 item word lost, 3 word added in the text.
+    Operations: 0 match, 1 substitution, 2 item word lost, 3 word added in the text. Two damages cost less than
+    one match earns, so that a passage is not cut off where two stand right after its first word.
     """
     m, n = len(item), len(text)
     score = np.zeros((m + 1, n + 1), dtype=np.int32)
-    ramp = np.arange(n + 1, dtype=np.int32)
+    ramp = np.arange(n + 1, dtype=np.int32) * COST
     for i in range(1, m + 1):
         row = np.zeros(n + 1, dtype=np.int32)
-        row[1:] = np.maximum(score[i - 1, :-1] + np.where(text == item[i - 1], 1, -1), score[i - 1, 1:] - 1)
+        row[1:] = np.maximum(score[i - 1, :-1] + np.where(text == item[i - 1], MATCH, -COST), score[i - 1, 1:] - COST)
         np.maximum(row, 0, out=row)
         score[i] = np.maximum.accumulate(row + ramp) - ramp
     i, j = np.unravel_index(int(score.argmax()), score.shape)
     out = []
     while i > 0 and j > 0 and score[i, j] > 0:
         same = item[i - 1] == text[j - 1]
-        if score[i, j] == score[i - 1, j - 1] + (1 if same else -1):
+        if score[i, j] == score[i - 1, j - 1] + (MATCH if same else -COST):
             i, j = i - 1, j - 1
             out.append((0 if same else 1, int(i), int(j)))
-        elif score[i, j] == score[i - 1, j] - 1:
+        elif score[i, j] == score[i - 1, j] - COST:
             i -= 1
             out.append((2, int(i), int(j)))
         else:
@@ -149,6 +155,7 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> list[tuple[int, int, i
     return out[::-1]
 
 
+@functools.lru_cache(maxsize=200_000)
 def misprint(a: str, b: str) -> bool:
     """Whether b may be a misprint of a: edit distance (with swapped neighbours) of a third of the length at most."""
     limit = max(1, max(len(a), len(b)) // 3)
@@ -166,27 +173,100 @@ def misprint(a: str, b: str) -> bool:
     return last[-1] <= limit
 
 
+def damages(item: list[str], text: list[str]) -> int:
+    """The fewest damages that turn these words of an item into these of a text: misprints, lost and added words."""
+    last = list(range(len(text) + 1))
+    for i, x in enumerate(item, start=1):
+        row = [i]
+        for j, y in enumerate(text, start=1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (1 if misprint(x, y) else 2)))
+        last = row
+    return last[-1]
+
+
 def best_passage(path: list[tuple[int, int, int]], item: list[str], text: list[str]) -> tuple[int, int, int, int, int, int] | None:
-    """The longest part of an alignment that counts: (matched, errors, item from, item to, text from, text to)."""
-    if not path:
+    """The longest part of an alignment that counts: (matched, errors, item from, item to, text from, text to).
+
+    Between two matching words the damages are counted anew, since an alignment does not know which of two words
+    is the misprint.
+    """
+    same = [(i, j) for op, i, j in path if op == 0]
+    if not same:
         return None
-    op = np.array([p[0] for p in path])
-    weight = np.array([2 if o == 1 and not misprint(item[i], text[j]) else int(o != 0) for o, i, j in path])
-    errors = np.concatenate([[0], np.cumsum(weight)])
-    length = np.concatenate([[0], np.cumsum(op != 3)])
+    errors = [0]
+    for (i, j), (k, m) in zip(same, same[1:], strict=False):
+        lost, added = k - i - 1, m - j - 1
+        most = max(lost, added)
+        # So many cannot be in any passage that counts.
+        few = lost and added and most * ERROR_RATE <= len(item)
+        errors.append(errors[-1] + (damages(item[i + 1 : k], text[j + 1 : m]) if few else most if lost and added else lost + added))
+    wrong, at = np.array(errors), np.array([i for i, _ in same])
     best = None
-    for a in np.flatnonzero(op == 0):
-        b = np.flatnonzero(op[a:] == 0) + a + 1
-        span, wrong = length[b] - length[a], errors[b] - errors[a]
-        good = np.flatnonzero((span >= WINDOW) & (wrong * ERROR_RATE <= span))
+    for a in range(len(same)):
+        span, bad = at[a:] - at[a] + 1, wrong[a:] - wrong[a]
+        good = np.flatnonzero((span >= WINDOW) & (bad * ERROR_RATE <= span))
         if len(good):
             k = good[-1]
             if best is None or span[k] > best[0]:
-                best = (int(span[k]), int(wrong[k]), int(a), int(b[k]))
+                best = (int(span[k]), int(bad[k]), a, a + int(k))
     if best is None:
         return None
-    part = path[best[2] : best[3]]
-    return (sum(p[0] == 0 for p in part), best[1], part[0][1], part[-1][1], part[0][2], part[-1][2])
+    (i, j), (k, m) = same[best[2]], same[best[3]]
+    return best[3] - best[2] + 1, best[1], i, k, j, m
+
+
+def letters_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The lengths of words, and which letters they have, as bits by their codes modulo 64."""
+    return np.array([len(w) for w in words]), np.array([functools.reduce(operator.or_, (1 << (ord(c) & 63) for c in w), 0) for w in words], dtype=np.uint64)
+
+
+def costs(item: list[str], text: list[str]) -> np.ndarray:
+    """Damages for each word of an item in the place of each word of a text: 0 equal, 1 a misprint, 2 another word."""
+    # A misprint changes few letters, which rules out nearly all pairs at once.
+    (n, own), (m, other) = letters_of(item), letters_of(text)
+    limit = np.maximum(1, np.maximum(n[:, None], m) // 3)
+    apart = np.maximum(np.bitwise_count(own[:, None] & ~other), np.bitwise_count(other & ~own[:, None]))
+    cost = np.full((len(item), len(text)), 2, dtype=np.int32)
+    for i, j in zip(*np.nonzero((np.abs(n[:, None] - m) <= limit) & (apart <= limit)), strict=True):
+        x, y = item[i], text[j]
+        if x == y:
+            cost[i, j] = 0
+        elif misprint(x, y):
+            cost[i, j] = 1
+    return cost
+
+
+def exact_passage(item: list[str], text: list[str]) -> tuple[int, int, int, int, int, int] | None:
+    """A passage that counts, the longest from the first word of the item where one begins, or None; as best_passage.
+
+    Every stretch of the item is aligned with the whole text by itself, so nothing is lost to the choice of one
+    alignment. A passage begins and ends with a matching word.
+    """
+    cost = costs(item, text)
+    at = np.arange(len(text) + 1)
+    # A word that is nowhere in the text is a damage at least.
+    damaged = np.concatenate([[0], np.cumsum(cost.min(axis=1) > 0)])
+    for a in range(len(item) - WINDOW + 1):
+        longest = len(item) - a
+        spans = np.arange(WINDOW, longest + 1)
+        if damaged[a + 1] > damaged[a] or not ((damaged[a + WINDOW :] - damaged[a]) * ERROR_RATE <= spans).any():
+            continue
+        row, start, found = np.where(np.append(1, cost[a]) == 0, 0, longest), at - 1, None  # the first word matches
+        for i in range(1, longest):
+            whole, lost = row[:-1] + cost[a + i], row[1:] + 1
+            best = np.concatenate([[longest], np.minimum(whole, lost)]) - at
+            begin = np.concatenate([[0], np.where(whole <= lost, start[:-1], start[1:])])
+            ends = np.where(cost[a + i] == 0, row[:-1], longest)
+            least = np.minimum.accumulate(best)  # words added in the text
+            if i + 1 >= WINDOW and ends.min() * ERROR_RATE <= i + 1:
+                j = int(ends.argmin())
+                found = i + 1 - int(ends[j]), int(ends[j]), a, a + i, int(start[j]), j
+            row, start = least + at, begin[np.maximum.accumulate(np.where(best == least, at, 0))]
+            if row.min() * ERROR_RATE > longest:
+                break
+        if found:
+            return found
+    return None
 
 
 class Finder:
@@ -234,20 +314,32 @@ class Finder:
 
     def verify(self, i: int, text: np.ndarray, plain: list[str]) -> tuple | None:
         item = self.items.words[i]
-        # A stretch of the item that counts has nearly all its words somewhere in this stretch of text.
-        present = np.isin(item, text).astype(np.int64)
-        if not any(len(item) >= n and np.convolve(present, np.ones(n, dtype=np.int64), "valid").max() >= n - n // ERROR_RATE for n in SPANS):
+        # A stretch of the item that counts has nearly all its words, and all n-grams but those that its damages
+        # spoil, somewhere in this stretch of text.
+        words, grams = np.isin(item, text), np.isin(codes(item, self.base), codes(text, self.base))
+        for n in SPANS:
+            few = n // ERROR_RATE
+            if len(item) >= n and (_windows(words, n) >= n - few).any() and (_windows(grams, n - SEED + 1) >= n - SEED + 1 - few * SEED).any():
+                break
+        else:
             return None
-        return best_passage(smith_waterman(item, text), [self.names[w] for w in item], plain)
+        names = [self.names[w] for w in item]
+        return best_passage(smith_waterman(item, text), names, plain) or exact_passage(names, plain)
+
+
+def _windows(flags: np.ndarray, n: int) -> np.ndarray:
+    """How many flags are set in every window of n."""
+    sums = np.concatenate([[0], np.cumsum(flags)])
+    return sums[n:] - sums[:-n]
 
 
-def item_blocks(items: DataFrame, words_per_pass: int = WORDS_PER_PASS) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of a bounded number of words, read one block at a time."""
+def item_blocks(items: DataFrame, letters_per_pass: int = LETTERS_PER_PASS) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of a bounded number of letters (one item at least), read one block at a time."""
     rows: list[tuple[int, str]] = []
     size = 0
     for r in items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text is not null").toLocalIterator():
-        n = r["text"].count(" ") + 1
-        if rows and size + n > words_per_pass:
+        n = len(r["text"])
+        if rows and size + n > letters_per_pass:
             yield rows
             rows, size = [], 0
         rows.append((r["item_id"], r["text"]))
@@ -282,7 +374,7 @@ def corpus_counts(documents: DataFrame, items: Items) -> np.ndarray:
 _LEAK = "doc_id bigint, item_id bigint, matched int, errors int, item_from int, item_to int, word_from int, word_to int"
 
 
-def leaks(documents: DataFrame, items: DataFrame, words_per_pass: int = WORDS_PER_PASS) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, letters_per_pass: int = LETTERS_PER_PASS) -> DataFrame:
     """One row per document and item whose text it holds, wholly or partly, with the longest passage found.
 
     matched and errors count words; positions count words from 0 and include the last. Null or empty texts,
@@ -292,7 +384,7 @@ def leaks(documents: DataFrame, items: DataFrame, words_per_pass: int = WORDS_PE
     spark = documents.sparkSession
     out = spark.createDataFrame([], _LEAK)
     chosen = spread(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    for block in item_blocks(items, words_per_pass):
+    for block in item_blocks(items, letters_per_pass):
         indexed = index_items(block)
         if not indexed.ids:
             continue

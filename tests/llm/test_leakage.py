@@ -55,6 +55,51 @@ def test_seeds_never_miss_a_damaged_window():
             assert best is None or i in found
 
 
+def scattered(rng, length):
+    """Places of as many damages as a passage of this length may have: anywhere, in a row, or three words apart."""
+    n = length // 8
+    step = rng.choice((0, 1, 3))
+    if not step:
+        return sorted(rng.sample(range(1, length - 1), n))
+    first = rng.randrange(1, max(2, length - 1 - step * n))
+    return sorted({min(length - 2, first + step * k) for k in range(n)})
+
+
+def hurt(rng, text, places):
+    out = list(text)
+    for at in reversed(places):
+        kind = rng.choice("mla")
+        if kind == "m":
+            out[at] = out[at][1] + out[at][0] + out[at][2:]
+        elif kind == "l":
+            del out[at]
+        else:
+            out.insert(at, "zz")
+    return out
+
+
+def test_no_passage_is_lost_wherever_its_damages_stand():
+    rng = random.Random(11)
+    for _ in range(12):
+        items = [(i, " ".join(words(rng, 60))) for i in range(20)]
+        index = K.index_items(items)
+        counts = np.array([rng.choice([1, 1000, rng.randrange(1000)]) for _ in index.grams])
+        finder = K.Finder(index, K.choose_seeds(index, counts))
+        for i, text in items * 5:
+            length = rng.randrange(16, 49)
+            at = rng.randrange(0, 61 - length)
+            doc = words(rng, 30) + hurt(rng, text.split()[at : at + length], scattered(rng, length)) + words(rng, 30)
+            assert i in {r[0] for r in finder.document(" ".join(doc))}
+
+
+def test_too_many_damages_are_no_passage():
+    rng = random.Random(12)
+    for _ in range(100):
+        item = [f"{w}{k}" for k, w in enumerate(words(rng, 16))]
+        doc = [w if k not in (2, 8, 13) else "qqqqq" for k, w in enumerate(item)]
+        assert K.exact_passage(item, doc) is None and K.best_passage(K.smith_waterman(*_numbers(item, doc)), item, doc) is None
+
+
 def _numbers(a, b):
     at = {w: k for k, w in enumerate(dict.fromkeys([*a, *b]))}
     return np.array([at[w] for w in a]), np.array([at[w] for w in b])
@@ -68,10 +113,10 @@ def test_smith_waterman_score_equals_plain_recursion():
         top = 0
         for i in range(1, len(a) + 1):
             for j in range(1, len(b) + 1):
-                h[i][j] = max(0, h[i - 1][j - 1] + (1 if a[i - 1] == b[j - 1] else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
+                h[i][j] = max(0, h[i - 1][j - 1] + (K.MATCH if a[i - 1] == b[j - 1] else -K.COST), h[i - 1][j] - K.COST, h[i][j - 1] - K.COST)
                 top = max(top, h[i][j])
         path = K.smith_waterman(np.array(a), np.array(b))
-        assert sum(1 if op == 0 else -1 for op, *_ in path) == top
+        assert sum(K.MATCH if op == 0 else -K.COST for op, *_ in path) == top
 
 
 @pytest.mark.parametrize("a,b,expected", [("tadpole", "tadople", True), ("basalt", "basallt", True), ("basalt", "quartz", False), ("of", "or", True), ("", "ab", False)])
@@ -103,7 +148,7 @@ def test_leaks(spark):
     got = sorted((r["doc_id"], r["item_id"]) for r in K.leaks(documents, items).collect())
     once = [(1, 100), (1, 100), (2, 100), (4, 100), (5, 100)]
     assert got == sorted(once * 2 + [(6, 200)])
-    blocks = sorted((r["doc_id"], r["item_id"]) for r in K.leaks(documents, items.dropDuplicates(["item_id"]), words_per_pass=45).collect())
+    blocks = sorted((r["doc_id"], r["item_id"]) for r in K.leaks(documents, items.dropDuplicates(["item_id"]), letters_per_pass=450).collect())
     assert blocks == sorted(once + [(6, 200)])
     assert K.leaks(documents.where("doc_id < 0"), items).count() == 0
     assert K.leaks(documents, items.where("item_id < 0")).count() == 0
