@@ -4,7 +4,8 @@ A fixed public piece vocabulary gives the units. Each language has a probability
 probability of a word is the sum over all its segmentations into pieces, by a forward algorithm over the
 word's lattice, and a sentence is the product of its words. Piece probabilities are fitted by expectation
 maximisation on words of a bounded sample of labelled documents. A Viterbi pass over the sentences of a
-document, with a cost per change of language, yields the stretches.
+document, with a cost per change of language, yields the stretches. Words of one text do not err independently,
+so the confidence is calibrated on labelled documents that the fit has not seen.
 """
 
 from __future__ import annotations
@@ -38,6 +39,10 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Documents per label that the model is fitted on, in expectation: the bound of the sample.
 SAMPLE_PER_LABEL = 400
 EM_ROUNDS = 3
+#: Documents per label outside the fit, in expectation, whose sentences calibrate the confidence: a bound like the first.
+CALIBRATION_PER_LABEL = 60
+#: Words from the start of a sentence that calibrate too, so that short texts are among those that teach.
+SNIPPETS = (1, 2, 4, 8)
 #: Natural-log cost of one change of language between sentences.
 SWITCH_COST = 14.0
 #: Longer runs of letters are cut, so that one lattice stays small; a cut costs a word boundary, nothing is lost.
@@ -82,32 +87,39 @@ class Lattice:
     final: np.ndarray
 
 
-def build_lattice(words: list[str], index: dict[str, int], longest: int) -> Lattice:
-    """Every way to cut '▁word' into pieces. A character no piece covers becomes the unknown piece, last of all."""
-    unknown = len(index)
+def beginnings(index: dict[str, int]) -> dict[str, int]:
+    """Every beginning of a piece with the number of the piece that it is, -1 if it is none."""
+    out = dict.fromkeys((p[:n] for p in index for n in range(1, len(p))), -1)
+    out.update(index)
+    return out
+
+
+def build_lattice(words: list[str], starts: dict[str, int], unknown: int) -> Lattice:
+    """Every way to cut '▁word' into pieces (starts: their beginnings). A character no piece covers becomes the unknown piece."""
     width = MAX_WORD + 2
-    start, stop, piece = [], [], []
-    get = index.get
+    edges: list[int] = []  # where an edge stops in its word, the state it starts from and its piece, as one number
+    get, add = starts.get, edges.append
     for w, word in enumerate(words):
         text = "▁" + word
         n, base = len(text), w * width
         for i in range(n):
-            alone = True
-            for j in range(i + 1, min(n, i + longest) + 1):
-                p = get(text[i:j])
-                if p is not None:
-                    alone = alone and j > i + 1
-                    start.append(base + i)
-                    stop.append(base + j)
-                    piece.append(p)
-            if alone:
-                start.append(base + i)
-                stop.append(base + i + 1)
-                piece.append(unknown)
-    start, stop, piece = (np.asarray(x, dtype=np.int64) for x in (start, stop, piece))
-    order = np.lexsort((start, stop % width))
+            here = (base + i) << 20
+            p = get(text[i])
+            if p is None or p < 0:
+                add((i + 1 << 44) + here + unknown)
+            else:
+                add((i + 1 << 44) + here + p)
+            if p is not None:
+                for j in range(i + 2, n + 1):
+                    p = get(text[i:j])
+                    if p is None:
+                        break  # no piece goes on like this
+                    if p >= 0:
+                        add((j << 44) + here + p)
+    code = np.sort(np.asarray(edges, dtype=np.int64))
+    start = code >> 20 & (1 << 24) - 1
     final = np.arange(len(words)) * width + np.array([len(x) + 1 for x in words], dtype=np.int64)
-    return Lattice(len(words), width, start[order], stop[order], piece[order], final)
+    return Lattice(len(words), width, start, start // width * width + (code >> 44), code & (1 << 20) - 1, final)
 
 
 def forward(lattice: Lattice, probability: np.ndarray) -> np.ndarray:
@@ -138,15 +150,14 @@ def backward(lattice: Lattice, probability: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    index: dict[str, int]
+    starts: dict[str, int]
     probability: np.ndarray
-    longest: int
 
     def score(self, words: list[str]) -> np.ndarray:
         """log P(word | language), one row per word."""
         if not words:
             return np.zeros((0, self.probability.shape[1]), dtype=np.float32)
-        lattice = build_lattice(words, self.index, self.longest)
+        lattice = build_lattice(words, self.starts, len(self.probability) - 1)
         return np.log(np.maximum(forward(lattice, self.probability)[lattice.final], 1e-290)).astype(np.float32)
 
 
@@ -157,8 +168,7 @@ def fit(counts: dict[str, dict[str, int]], vocabulary: list[str], rounds: int =
     weight of a fraction of one occurrence.
     """
     words = sorted({w for c in counts.values() for w in c})
-    index = {p: i for i, p in enumerate(vocabulary)}
-    longest = max(map(len, vocabulary), default=1)
+    starts = beginnings({p: i for i, p in enumerate(vocabulary)})
     weight = np.zeros((len(words), len(LANGUAGES)))
     at = {w: i for i, w in enumerate(words)}
     for k, language in enumerate(LANGUAGES):
@@ -172,7 +182,7 @@ def fit(counts: dict[str, dict[str, int]], vocabulary: list[str], rounds: int =
     p[-1] = 1e-6
     p /= p.sum(axis=0)
     blocks = [range(i, min(i + WORDS_AT_ONCE, len(words))) for i in range(0, len(words), WORDS_AT_ONCE)]
-    lattices = [build_lattice([words[i] for i in b], index, longest) for b in blocks]
+    lattices = [build_lattice([words[i] for i in b], starts, len(vocabulary)) for b in blocks]
     for _ in range(rounds if words else 0):
         n = np.full_like(p, 0.05)
         for block, lattice in zip(blocks, lattices, strict=True):
@@ -182,18 +192,79 @@ def fit(counts: dict[str, dict[str, int]], vocabulary: list[str], rounds: int =
             np.add.at(n, lattice.piece, alpha[lattice.start] * p[lattice.piece] * beta[lattice.stop] * per_word[word_of])
         n[-1] = 0.05
         p = n / n.sum(axis=0)
-    return Model(index, p, longest)
+    return Model(starts, p)
 
 
-def training_counts(documents: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> dict[str, dict[str, int]]:
-    """Word counts by label over a bounded sample: of each label's documents a share of per_label / all of them."""
+@dataclass
+class Confidence:
+    """How far the scores of so many words are to be believed: they are divided by exp(a) * words ** b.
+
+    Without labelled documents outside the fit, by the square root of the words.
+    """
+
+    a: float = 0.0
+    b: float = 0.5
+
+    def of(self, scores: np.ndarray, words: np.ndarray | int) -> np.ndarray:
+        """The probability of each language; scores has one row per text."""
+        s = (scores - scores.max(axis=-1, keepdims=True)) / (np.exp(self.a) * np.power(np.asarray(words, dtype=float), self.b))[..., None]
+        e = np.exp(s)
+        return e / e.sum(axis=-1, keepdims=True)
+
+
+def calibrate(scores: np.ndarray, words: np.ndarray, label: np.ndarray, least: int = 50) -> Confidence:
+    """The confidence under which the labels are likeliest, when some share of them is wrong at random."""
+    if len(label) < least:
+        return Confidence()
+    best = None
+    for b in np.arange(0, 1.01, 0.1):
+        for a in np.arange(-2, 4.01, 0.2):
+            p = Confidence(a, b).of(scores, words)[np.arange(len(label)), label]
+            for wrong in (0.005, 0.01, 0.02, 0.04, 0.08, 0.16):
+                loss = -np.log((1 - wrong) * p + wrong / (len(LANGUAGES) - 1) * (1 - p)).mean()
+                if best is None or loss < best[0]:
+                    best = (loss, float(a), float(b))
+    return Confidence(*best[1:])
+
+
+def labelled_share(documents: DataFrame, skip: int, take: int) -> DataFrame:
+    """(doc_id, text, label): of each label's documents about take, drawn after about skip others; a hash draws."""
     labelled = documents.select("doc_id", "text", label_code(F.col("lang")).alias("label")).where(F.col("label").isin(*LANGUAGES) & F.col("text").isNotNull())
     sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    share = F.lit(0.0)
+    first, last = F.lit(0.0), F.lit(0.0)
     for label, n in sizes.items():
-        share = F.when(F.col("label") == label, F.lit(min(1.0, per_label / n))).otherwise(share)
-    words = labelled.where(draw < share).select(
+        first = F.when(F.col("label") == label, F.lit(skip / n)).otherwise(first)
+        last = F.when(F.col("label") == label, F.lit((skip + take) / n)).otherwise(last)
+    return labelled.where((draw >= first) & (draw < last))
+
+
+def calibration(documents: DataFrame, shared, per_label: int = SAMPLE_PER_LABEL, take: int = CALIBRATION_PER_LABEL) -> Confidence:
+    """The confidence for a broadcast model, from sentences of labelled documents outside its fit, and their first words.
+
+    Documents whose text as a whole is of another language than their label are left out as wrongly labelled.
+    """
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tagger = Tagger(shared.value)
+        for batch in batches:
+            rows = []
+            for label, text in zip(batch["label"], batch["text"], strict=True):
+                found = tagger.sentence_scores(text)
+                if found and LANGUAGES[sum(s.sum(axis=0) for s in found).argmax()] == label:
+                    rows += [(label, n, s[:n].sum(axis=0).tolist()) for s in found for n in {*SNIPPETS, len(s)} if n <= len(s)]
+            yield pd.DataFrame(rows, columns=["label", "words", "scores"])
+
+    found = labelled_share(documents, per_label, take).mapInPandas(score, "label string, words int, scores array<double>").collect()
+    if not found:
+        return Confidence()
+    at = {language: i for i, language in enumerate(LANGUAGES)}
+    return calibrate(np.array([r["scores"] for r in found]), np.array([r["words"] for r in found]), np.array([at[r["label"]] for r in found]))
+
+
+def training_counts(documents: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> dict[str, dict[str, int]]:
+    """Word counts by label over a bounded sample: of each label's documents a share of per_label / all of them."""
+    words = labelled_share(documents, 0, per_label).select(
         "label", F.explode(F.regexp_extract_all(F.lower(F.regexp_replace("text", r"-[ \t]*\n[ \t]*", "")), F.lit(r"(\p{L}{1,%d})" % MAX_WORD))).alias("word")
     )
     out: dict[str, dict[str, int]] = {}
@@ -234,8 +305,8 @@ def viterbi(scores: np.ndarray, cost: float) -> np.ndarray:
 class Tagger:
     """Scores sentences with a cache of word scores, and finds the stretches of a document."""
 
-    def __init__(self, model: Model, cost: float = SWITCH_COST) -> None:
-        self.model, self.cost = model, cost
+    def __init__(self, model: Model, cost: float = SWITCH_COST, confidence: Confidence | None = None) -> None:
+        self.model, self.cost, self.confidence = model, cost, confidence or Confidence()
         self.at: dict[str, int] = {}
         self.table = np.zeros((0, len(LANGUAGES)), dtype=np.float32)
 
@@ -254,6 +325,13 @@ class Tagger:
             self.at[w] = len(self.at)
         self.table = np.concatenate(parts)
 
+    def sentence_scores(self, text: str) -> list[np.ndarray]:
+        """For each sentence of a text that has words, their scores, one row per word."""
+        joined = _HYPHEN.sub("", text).lower()
+        found = [w for w in (_WORD.findall(joined, a, b) for a, b in sentences(joined)) if w]
+        self._learn({w for s in found for w in s})
+        return [self.table[[self.at[w] for w in s]].astype(np.float64) for s in found]
+
     def batch(self, texts: list[str]) -> list[list[tuple[int, int, str, float, int, int]]]:
         """For each text its stretches: (number, sentences, language, confidence, start, stop of the characters)."""
         joined = [_HYPHEN.sub("", t) for t in texts]
@@ -290,9 +368,8 @@ class Tagger:
             path = np.full(b - a, best[k]) if regret[k] < self.cost else viterbi(rows[a:b], self.cost)
             change = np.flatnonzero(np.diff(path)) + 1
             for number, (i, j) in enumerate(zip([0, *change.tolist()], [*change.tolist(), b - a], strict=True), start=1):
-                s = rows[a + i : a + j].sum(axis=0)
-                e = np.exp(s - s.max())
-                out[owner[a]].append((number, j - i, LANGUAGES[path[i]], float(e[path[i]] / e.sum()), cuts[a + i][0], cuts[a + j - 1][1]))
+                p = self.confidence.of(rows[a + i : a + j].sum(axis=0), int(sizes[a + i : a + j].sum()))
+                out[owner[a]].append((number, j - i, LANGUAGES[path[i]], float(p[path[i]]), cuts[a + i][0], cuts[a + j - 1][1]))
         return out
 
 
@@ -305,14 +382,16 @@ def stretches(documents: DataFrame, vocabulary: str = VOCABULARY, per_label: int
     label is the code that the delivered label names ('' none, '?' not one of the known languages). Characters
     are counted after hyphens at line ends are taken out. A null, empty or letterless text gives one row with
     language 'und', confidence 0 and no sentences. An empty table, or one without any usable label, gives the
-    uniform model and still one or more rows per document.
+    uniform model and still one or more rows per document. confidence is the calibrated probability of the
+    stretch's language.
     """
     spark = documents.sparkSession
     model = fit(training_counts(documents, per_label), pieces(vocabulary))
     shared = spark.sparkContext.broadcast(model)
+    trust = calibration(documents, shared, per_label)
 
     def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tagger = Tagger(shared.value, cost)
+        tagger = Tagger(shared.value, cost, trust)
         names = [x.split()[0] for x in _STRETCH.split(", ")]
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
