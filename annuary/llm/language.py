@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annuary.session import spread
+from annuary.session import cut_lineage, spread
 
 LANGUAGES = ("en", "de", "fr", "es", "it", "nl", "pt")
 #: Spellings of language labels, lower case, without region.
@@ -45,7 +45,7 @@ CALIBRATION_PER_LABEL = 60
 SNIPPETS = (1, 2, 4, 8)
 #: Natural-log cost of one change of language between sentences.
 SWITCH_COST = 14.0
-#: Longer runs of letters are cut, so that one lattice stays small; a cut costs a word boundary, nothing is lost.
+#: Longer runs of letters are cut, so that one lattice stays small; a cut costs a word boundary, no letter is lost.
 MAX_WORD = 32
 #: Words whose lattices are worked on together; bounds memory only.
 WORDS_AT_ONCE = 4_000
@@ -227,22 +227,26 @@ def calibrate(scores: np.ndarray, words: np.ndarray, label: np.ndarray, least: i
     return Confidence(*best[1:])
 
 
-def labelled_share(documents: DataFrame, skip: int, take: int) -> DataFrame:
-    """(doc_id, text, label): of each label's documents about take, drawn after about skip others; a hash draws."""
-    labelled = documents.select("doc_id", "text", label_code(F.col("lang")).alias("label")).where(F.col("label").isin(*LANGUAGES) & F.col("text").isNotNull())
+def labelled_share(documents: DataFrame, skip: int, take: int, inside: int = 0) -> DataFrame:
+    """(doc_id, text, label, inside): of each label's documents about take, drawn after about skip others; a hash draws.
+
+    The column inside tells which of them are among the first inside ones.
+    """
+    labelled = documents.select("doc_id", "text", label_code(F.col("lang")).alias("label")).where(F.col("label").isin(*LANGUAGES))
     sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    draw = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    first, last = F.lit(0.0), F.lit(0.0)
+    at = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000)) / 1_000_000
+    place = F.lit(None)
     for label, n in sizes.items():
-        first = F.when(F.col("label") == label, F.lit(skip / n)).otherwise(first)
-        last = F.when(F.col("label") == label, F.lit((skip + take) / n)).otherwise(last)
-    return labelled.where((draw >= first) & (draw < last))
+        place = F.when(F.col("label") == label, at * n).otherwise(place)
+    drawn = labelled.withColumn("place", place).where((F.col("place") >= skip) & (F.col("place") < skip + take) & F.col("text").isNotNull())
+    return drawn.select("doc_id", "text", "label", (F.col("place") < inside).alias("inside"))
 
 
-def calibration(documents: DataFrame, shared, per_label: int = SAMPLE_PER_LABEL, take: int = CALIBRATION_PER_LABEL) -> Confidence:
+def calibration(labelled: DataFrame, shared) -> Confidence:
     """The confidence for a broadcast model, from sentences of labelled documents outside its fit, and their first words.
 
-    Documents whose text as a whole is of another language than their label are left out as wrongly labelled.
+    labelled (text, label) is a bounded sample. Documents whose text as a whole is of another language than their
+    label are left out as wrongly labelled.
     """
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,16 +259,16 @@ def calibration(documents: DataFrame, shared, per_label: int = SAMPLE_PER_LABEL,
                     rows += [(label, n, s[:n].sum(axis=0).tolist()) for s in found for n in {*SNIPPETS, len(s)} if n <= len(s)]
             yield pd.DataFrame(rows, columns=["label", "words", "scores"])
 
-    found = labelled_share(documents, per_label, take).mapInPandas(score, "label string, words int, scores array<double>").collect()
+    found = labelled.select("label", "text").mapInPandas(score, "label string, words int, scores array<double>").collect()
     if not found:
         return Confidence()
     at = {language: i for i, language in enumerate(LANGUAGES)}
     return calibrate(np.array([r["scores"] for r in found]), np.array([r["words"] for r in found]), np.array([at[r["label"]] for r in found]))
 
 
-def training_counts(documents: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> dict[str, dict[str, int]]:
-    """Word counts by label over a bounded sample: of each label's documents a share of per_label / all of them."""
-    words = labelled_share(documents, 0, per_label).select(
+def word_counts(labelled: DataFrame) -> dict[str, dict[str, int]]:
+    """How often each word occurs under each label in a bounded sample (text, label)."""
+    words = labelled.select(
         "label", F.explode(F.regexp_extract_all(F.lower(F.regexp_replace("text", r"-[ \t]*\n[ \t]*", "")), F.lit(r"(\p{L}{1,%d})" % MAX_WORD))).alias("word")
     )
     out: dict[str, dict[str, int]] = {}
@@ -273,6 +277,11 @@ def training_counts(documents: DataFrame, per_label: int = SAMPLE_PER_LABEL) ->
     return out
 
 
+def training_counts(documents: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> dict[str, dict[str, int]]:
+    """Word counts by label over a bounded sample: of each label's documents a share of per_label / all of them."""
+    return word_counts(labelled_share(documents, 0, per_label))
+
+
 def sentences(text: str) -> list[tuple[int, int]]:
     """(start, stop) of the sentences; hyphens at line ends must have been taken out."""
     out, at = [], 0
@@ -386,9 +395,9 @@ def stretches(documents: DataFrame, vocabulary: str = VOCABULARY, per_label: int
     stretch's language.
     """
     spark = documents.sparkSession
-    model = fit(training_counts(documents, per_label), pieces(vocabulary))
-    shared = spark.sparkContext.broadcast(model)
-    trust = calibration(documents, shared, per_label)
+    sample = cut_lineage(labelled_share(documents, 0, per_label + CALIBRATION_PER_LABEL, per_label))
+    shared = spark.sparkContext.broadcast(fit(word_counts(sample.where("inside")), pieces(vocabulary)))
+    trust = calibration(sample.where("not inside"), shared)
 
     def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tagger = Tagger(shared.value, cost, trust)
