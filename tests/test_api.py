@@ -32,10 +32,11 @@ def test_merged_profiles(spark, profiles):
     assert got == {2: 0, 3: 1}
 
 
-def test_omissions():
-    text = "Beer,Dr.Xx,Beer,Dr.Yy,Behre,C(harles)"
-    assert ocr.omissions(["Beer", "Behr"], text, "a", "z") == [("Beer", 2, 1)]
-    assert ocr.omissions([], text, "beh", "z") == [("Behre", 1, 0)]
+def test_omissions(spark, profiles):
+    pages = spark.createDataFrame([(1, "Beer, Dr.Xx,Beer,Dr.Yy, Behre,C(harles)"), (2, "Behre,C(harles)")], "page int, text string")
+    window = spark.createDataFrame([(1, "a", "z"), (2, "beh", "z")], "page int, lo string, hi string")
+    p = profiles({"full_name": "Beer, A"}, {"full_name": "Behr, B"}, {"full_name": None, "source_page": 2})
+    assert {tuple(r) for r in ocr.page_omissions(p, pages, window).collect()} == {(1, "Beer", 2, 1), (2, "Behre", 1, 0)}
 
 
 def test_state(tmp_path):

@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,13 +110,20 @@ def test_text_layer(spark, profiles):
     squashed = "Beer,Dr.Xx,Behre,C(harles)ANMENOFSCIENCEBechtel,Prof.Belknap,William)E("
     pages = spark.createDataFrame([(1, squashed)], "page int, text string")
     assert {r["surname"] for r in ocr.entry_candidates(pages).collect()} == {"Beer", "Behre", "Bechtel", "Belknap"}
-    found = ocr.surname_findings(["Behr", "Beer", "Zzz", "Beer"], squashed, "a", "zz")
-    assert {(f[1], f[2]) for f in found} == {("surname_misread", "Behre"), ("surname_not_printed", "Zzz"), ("entry_possibly_missed", "Bechtel"), ("entry_possibly_missed", "Belknap")}
-    assert ocr.surname_findings([], "", "", "z")[0][1] == "no_text_layer"
-    assert ocr.birth_findings("A", "March 1, 1889", "xMarch1,89.") == []
-    assert ocr.birth_findings("A", "March 1, 1889", "xApril1,89.")[0][1] == "birth_month_ocr_mismatch"
-    assert ocr.birth_findings("A", "March 1, 1889", "nothing")[0][1] == "birth_date_not_on_page"
-    assert ocr.headings("AMERICAN MEN OF SCIENCE  Bear , Prof. F(irman) E(dward), Ohio. Bearce, Henry W(alter), x")[0].startswith("Bear, Prof. F(irman) E(dward)")
+    window = spark.createDataFrame([(1, "a", "zz")], "page int, lo string, hi string")
+    p = profiles(*[{"full_name": n} for n in ("Behr, A", "Beer, B", "Zzz, C", "Beer, D", None)])
+    found = {(r["code"], r["scientist"]): r["detail"] for r in ocr.text_findings(p, pages, window).collect()}
+    assert set(found) == {("surname_misread", "Behre"), ("surname_not_printed", "Zzz"), ("entry_possibly_missed", "Bechtel"), ("entry_possibly_missed", "Belknap")}
+    assert found["surname_misread", "Behre"] == "model returned 'Behr' but the page prints 'Behre'"
+    assert found["entry_possibly_missed", "Bechtel"] == "the page prints an entry for 'Bechtel' (1x) but no profile with that surname came back"
+    p = profiles(*[{"full_name": "A", "birth_date": "March 1, 1889", "source_page": k} for k in (1, 2, 3)], {"full_name": None, "birth_date": "soon"})
+    dates = spark.createDataFrame([(1, "xMarch1,89."), (2, "1April1,89."), (3, "nothing")], "page int, text string")
+    got = {r["page"]: (r["code"], r["detail"]) for r in ocr.birth_findings(p, dates).collect()}
+    assert set(got) == {2, 3} and got[3][0] == "birth_date_not_on_page"
+    assert got[2] == ("birth_month_ocr_mismatch", "extracted 'March 1, 1889' but the OCR text layer reads 'April1,89' -- verify the month on the page image")
+    text = "AMERICAN MEN OF SCIENCE  Bear , Prof. F(irman) E(dward), Ohio. Bearce, Henry W(alter), x"
+    heads = ocr.printed_headings(spark.createDataFrame([(1, text), (2, None), (3, "")], "page int, text string")).orderBy("ordinal").collect()
+    assert [r["page"] for r in heads] == [1, 1] and heads[0]["heading"] == "Bear, Prof. F(irman) E(dward)" and heads[1]["heading"].startswith("Bearce, Henry W(alter)")
     p = profiles({"full_name": "Beer, X", "star_status": True}, {"full_name": "Behre, C(harles)"}, {"full_name": "Far, A", "source_page": 3})
     got = ocr.text_findings(p, pages, checks.alpha_window(p)).collect()
     assert {(r["page"], r["code"]) for r in got} >= {(1, "star_mismatch"), (3, "no_text_layer")}
@@ -155,6 +163,47 @@ def test_repair_only_removes(spark, profiles):
     assert r[6]["birth_place"] is None and r[3]["repair_note"].endswith("birth_year stripped too") and r[1]["repair_note"] == ""
 
 
+@pytest.mark.parametrize("text,name,expected", [
+    ("xxBell,A(nn)Bo.yy", "Bell, A(nn)", "Bell,A(nn)Bo.yy"),
+    ("Bell,C." + "x" * 20 + "Bell,A(nn)z", "Bell, A(nn) B(o)", "Bell,A(nn)z"),
+    ("Bell,Annz", "Bell, A(nn)", "Bell,Annz"),
+    ("Bell,C.z", "Bell, A(nn)", None),
+    ("St.John,A.z", "St. John, A.", "St.John,A.z"),
+    ("Bell,A.z", "Bell", None),
+    ("Bell,A.z", None, None),
+    ("", "Bell, A", None),
+])
+def test_entry_slice(spark, text, name, expected):
+    df = spark.createDataFrame([(text, name)], "t string, n string")
+    assert df.select(ocr.entry_slice(F.col("t"), F.col("n"))).first()[0] == expected
+
+
+def test_pairs_settled_in_rounds_are_those_of_the_greedy_order():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        score = rng.choice([0, 0, 0.85, 0.9, 0.95, 1.0], (rng.integers(0, 7), rng.integers(0, 7)))
+        rows, columns, greedy = set(), set(), set()
+        for _, i, j in sorted((-score[i, j], i, j) for i, j in zip(*np.nonzero(score), strict=True)):
+            if i not in rows and j not in columns:
+                rows.add(i)
+                columns.add(j)
+                greedy.add((i, j))
+        assert set(resolve.settle(score)) == greedy
+
+
+def test_pass_merge_keeps_what_the_page_prints_and_order_of_passes(spark, profiles):
+    p = profiles(
+        {"full_name": "Behre, J(ohn)"},
+        {"full_name": "Behrc, J(ohn)", "pass_no": 2, "department": "Botany", "birth_place": "X"},
+        {"full_name": "Behre, J(ohn)", "pass_no": 3, "department": "Botany"},
+        {"full_name": None, "pass_no": None, "pos": None},
+        {"full_name": None, "pass_no": 2, "pos": 5},
+    )
+    assert [r["profile_id"] for r in resolve.merge_passes(p).orderBy("ordinal").collect()] == [4, 2, 5]
+    pages = spark.createDataFrame([(1, "Behre, J(ohn)")], "page int, text string")
+    assert [r["profile_id"] for r in resolve.merge_passes(p, pages).orderBy("ordinal").collect()] == [4, 3, 5]
+
+
 def test_pass_merge(profiles):
     p = profiles(
         {"full_name": "Behre, J(ohn)", "birth_year": 1880},
