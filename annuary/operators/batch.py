@@ -47,6 +47,20 @@ def json_part(text: Column) -> Column:
     return F.when((first > 0) & (F.instr(text, "}") > 0) & (last >= first), text.substr(first, last - first + 1))
 
 
+def _pieces(line: Column) -> Column:
+    """All pieces of the messages of a decoded batch line."""
+    return F.flatten(F.transform(F.coalesce(line["response"]["body"]["output"], F.array()), lambda o: F.coalesce(o["content"], F.array())))
+
+
+def _joined_text(pieces: Column) -> Column:
+    return F.array_join(F.transform(F.filter(pieces, lambda p: p["type"] == "output_text"), lambda p: F.coalesce(p["text"], F.lit(""))), "")
+
+
+def output_text(raw: Column) -> Column:
+    """The message text of a batch result line."""
+    return _joined_text(_pieces(F.from_json(raw, ENVELOPE)))
+
+
 def decode(lines: DataFrame) -> DataFrame:
     """Batch result lines (record_id, raw_json) with page, outcome, text, refusal and token usage.
 
@@ -54,9 +68,7 @@ def decode(lines: DataFrame) -> DataFrame:
     """
     whole = F.try_parse_json("raw_json").isNotNull()
     rows = lines.select("record_id", F.when(whole, F.from_json("raw_json", ENVELOPE)).alias("r"), whole.alias("whole"))
-    pieces = F.flatten(F.transform(F.coalesce("r.response.body.output", F.array()), lambda o: F.coalesce(o["content"], F.array())))
-    text = F.array_join(F.transform(F.filter("pieces", lambda p: p["type"] == "output_text"), lambda p: F.coalesce(p["text"], F.lit(""))), "")
-    rows = rows.withColumn("pieces", pieces).withColumn("text", text)
+    rows = rows.withColumn("pieces", _pieces(F.col("r"))).withColumn("text", _joined_text(F.col("pieces")))
     refusal = F.get(F.filter("pieces", lambda p: p["type"] == "refusal"), 0)["refusal"]
     failed = F.col("r.error").isNotNull() | ~F.coalesce(F.col("r.response.status_code") == 200, F.lit(False))
     outcome = (

@@ -16,6 +16,11 @@ def release_order(df: DataFrame, *more: str) -> DataFrame:
     return df.orderBy(*[k.asc_nulls_last() for k in keys + ties])
 
 
+def bridge_order(locations: DataFrame) -> DataFrame:
+    """The most frequent institutions first."""
+    return locations.orderBy(F.desc_nulls_last("n_events"), "institution")
+
+
 def columns_first(df: DataFrame, front: list[str]) -> DataFrame:
     """The named columns first if they exist, then the rest as they were."""
     return df.select(*[c for c in front if c in df.columns], *[c for c in df.columns if c not in front])

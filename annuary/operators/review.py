@@ -38,6 +38,7 @@ def review_view(profiles: DataFrame, findings: DataFrame) -> DataFrame:
     rows = profiles.select(
         "profile_id",
         F.col("source_page").alias("page"),
+        "pass_no", "pos",
         "full_name",
         F.when(F.col("star_status"), "*").otherwise("").alias("star"),
         "titles", "mailing_address", "mailing_city", "mailing_state", "mailing_country", "department", "birth_place", "birth_date", "birth_year",
@@ -51,6 +52,16 @@ def review_view(profiles: DataFrame, findings: DataFrame) -> DataFrame:
     return joined.withColumn("row_severity", F.when(F.col("bad"), "error").when(F.col("flags").isNotNull(), "warn").otherwise("")).withColumn("flags", F.coalesce("flags", F.lit(""))).drop("bad")
 
 
+def page_of(*columns: str) -> Column:
+    """The first page number that is there; 0 counts as missing."""
+    return F.coalesce(*[F.nullif(F.col(c), F.lit(0)) for c in columns])
+
+
+def review_order(view: DataFrame) -> DataFrame:
+    """The sheet by page, rows without one first, in print order within it."""
+    return view.orderBy(F.coalesce(page_of("page"), F.lit(0)), "pass_no", "pos", "profile_id")
+
+
 def group_breaks(rows: DataFrame, group: list[str], within: str, order: list[str]) -> DataFrame:
     """Rows with a flag at each change of the group columns along the order, except at the very first row.
 

@@ -98,7 +98,7 @@ _EVIDENCE = f"""select institution, city, state_region, country, cast(votes as b
  case when votes = total then printf('auto: %d mailing address(es), unanimous', cast(total as bigint)) else printf('auto: %d of %d mailing addresses', cast(votes as bigint), cast(total as bigint)) end as note
 from (select *, sum(votes) over (partition by institution) as total, row_number() over (partition by institution order by votes desc) as r from ({_VOTES})) where r = 1 and votes / total >= 0.6"""
 _B = lambda x: f"coalesce({x}, '')"
-_BLANK = "(coalesce(city, '') = '' and coalesce(state_region, '') = '' and coalesce(country, '') = '')"
+BLANK = "(coalesce(city, '') = '' and coalesce(state_region, '') = '' and coalesce(country, '') = '')"
 _SOURCE = f"case when starts_with({_S('notes')}, 'auto:') then 'mailing address' when starts_with({_S('notes')}, 'ai:') then 'AI' else 'hand' end"
 _LOOKUP = f"""select institution, city, state_region, country, source from (
  select *, row_number() over (partition by institution order by bridge_id) as r from (
@@ -125,7 +125,7 @@ ORACLE = {
     "bridge_refresh": f"""with counts as ({_COUNTS}), ev as ({_EVIDENCE}),
 old as (select institution, {_B('city')} as city, {_B('state_region')} as state_region, {_B('country')} as country, {_B('notes')} as notes, {_S('institution')} as key from institution_locations_1927),
 r as (select * from old union all select institution, '', '', '', '', institution from counts where institution not in (select key from old))
-select r.institution, coalesce(c.n_events, 0) as n_events, case when {_BLANK.replace('(city', '(r.city').replace('(state_region', '(r.state_region').replace('(country', '(r.country')} and e.n_total is not null then e.city else r.city end as city,
+select r.institution, coalesce(c.n_events, 0) as n_events, case when {BLANK.replace('(city', '(r.city').replace('(state_region', '(r.state_region').replace('(country', '(r.country')} and e.n_total is not null then e.city else r.city end as city,
  case when r.city = '' and r.state_region = '' and r.country = '' and e.n_total is not null then e.state_region else r.state_region end as state_region,
  case when r.city = '' and r.state_region = '' and r.country = '' and e.n_total is not null then e.country else r.country end as country,
  case when r.city = '' and r.state_region = '' and r.country = '' and e.n_total is not null then e.note else r.notes end as notes
@@ -139,13 +139,13 @@ from career_events_1927 e left join ({_LOOKUP}) l on e.institution_organization
  cast(sum((not blank and source = 'hand')::int) as bigint) as n_hand_rows, cast(sum(case when not blank and source = 'hand' then n else 0 end) as bigint) as n_hand_events,
  printf('%.1f%% of events', cast(100.0 * sum(case when not blank then n else 0 end) / greatest(sum(n), 1) as double)) as inst_coverage,
  cast(sum(case when not blank then n else 0 end) as bigint) as located_events, cast(sum(n) as bigint) as all_events
-from (select coalesce(n_events, 0) as n, {_BLANK} as blank, {_SOURCE} as source from institution_locations_1927)""",
+from (select coalesce(n_events, 0) as n, {BLANK} as blank, {_SOURCE} as source from institution_locations_1927)""",
     "propose_targets": f"""select bridge_id, institution, n_events, r as ordinal, (r - 1) // 25 as batch_no from (
  select *, row_number() over (order by n_events desc, institution, bridge_id) as r from institution_locations_1927
- where {_BLANK} and coalesce(n_events, 0) >= 1 and not coalesce(starts_with(notes, 'ai:'), false))""",
+ where {BLANK} and coalesce(n_events, 0) >= 1 and not coalesce(starts_with(notes, 'ai:'), false))""",
     "accept_proposals": _ACCEPT,
     "merge_proposals": f"""with p as (select * from (select *, row_number() over (partition by institution order by reply_id) as r from ({_ACCEPT})) where r = 1)
 select b.bridge_id, b.institution, case when t then p.city else b.city end as city, case when t then p.state_region else b.state_region end as state_region,
  case when t then p.country else b.country end as country, case when t then p.notes else b.notes end as notes
-from (select *, {_BLANK} as t0 from institution_locations_1927) b left join p on b.institution = p.institution, lateral (select b.t0 and p.institution is not null as t)""",
+from (select *, {BLANK} as t0 from institution_locations_1927) b left join p on b.institution = p.institution, lateral (select b.t0 and p.institution is not null as t)""",
 }

@@ -75,7 +75,7 @@ def findings_flags(spark, d):
 
 def review_view(spark, d):
     p = _profiles(spark, d)
-    return review.review_view(p, cut_lineage(checks.all_findings(p)))
+    return review.review_view(p, cut_lineage(checks.all_findings(p))).drop("pass_no", "pos")
 
 
 def position_lines(spark, d):

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annuary import api
-from annuary.operators import batch, ocr, publish, resolve
-from annuary.plans import bridge_queries, panel_queries, sql
-from annuary.session import read_table
+from annuary.operators import batch, checks, ocr, panel, publish, resolve, review
+from annuary.plans import bridge_queries, check_queries, panel_queries, problems, sql
+from annuary.session import numbered, read_table
 from annuary.sources import files
 from annuary.streaming import tables as streams
 
@@ -56,6 +58,47 @@ def request_lines(spark, d):
     return batch.request_lines(_profiles(spark, d).select(F.col("source_page").alias("page")), "small", "low")
 
 
+def ingest_profiles(spark, d):
+    """The profiles of the raw page records, with their loose years, lists and texts read."""
+    p = files.profiles_of(files.passes_of(_records(spark, d)))
+    line = lambda c, *fields: F.array_join(F.transform(c, lambda x: F.concat_ws(":", *[F.coalesce(x[f].cast("string"), F.lit("-")) for f in fields])), "|")
+    post = ("position_title", "start_year", "end_year", "is_current_position")
+    return p.select(
+        "record_id", "pos", "pass_no", "full_name", "department", "mailing_address", "star_status", "birth_date", "birth_year",
+        line("education", "degree_type", "institution", "year", "end_year").alias("education"), line("employment", *post).alias("employment"),
+        line("minor_positions", *post).alias("minor_positions"), F.array_join("societies", "|").alias("societies"),
+    )
+
+
+def ingest_panel(spark, d):
+    """From the raw page records to the panel, every pass by itself."""
+    return panel.balanced_panel(files.profiles_of(files.passes_of(_records(spark, d))))
+
+
+def log_to_tables(spark, d):
+    """From the raw page records to all tables, passes merged and repaired: rows and different pages of each."""
+    tables = api.tables_from_log(files.passes_of(_records(spark, d)), ocr.page_text(read_table(spark, d, "documents")))
+    page = {"profiles": "source_page", "findings": "page", "review": "page"}
+    parts = [t.agg(F.count("*").alias("n_rows"), F.countDistinct(page.get(name, "source_pdf_page")).alias("n_pages")).select(F.lit(name).alias("table_name"), "n_rows", "n_pages") for name, t in tables.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def page_progress(spark, d):
+    return files.numbered_pages(_records(spark, d).select(F.col("focus_page_number").alias("page")))
+
+
+def review_book_order(spark, d):
+    view = review.review_view(_profiles(spark, d), checks.all_findings(_profiles(spark, d))).select("profile_id", "page", "pass_no", "pos", "row_severity")
+    return numbered(view, [F.coalesce(review.page_of("page"), F.lit(0)).asc(), F.asc("pass_no"), F.asc("pos"), F.asc("profile_id")])
+
+
+def release_sheets(spark, d):
+    """The located and the blank institutions in their order."""
+    tables = api.publish_release(_profiles(spark, d), read_table(spark, d, "institution_locations_1927"))
+    order = [F.desc_nulls_last("n_events"), F.asc("institution"), F.asc("bridge_id")]
+    return functools.reduce(DataFrame.unionByName, [numbered(tables[s], order).select(F.lit(s).alias("sheet"), "ordinal", "bridge_id", "institution", "n_events") for s in ("located", "blank")])
+
+
 def merged_profiles(spark, d):
     """What the union of passes leaves, repaired: profile_id, place in print and birth fields."""
     out = api.merged_profiles(_profiles(spark, d), ocr.page_text(read_table(spark, d, "documents")))
@@ -128,7 +171,7 @@ def stream_event_windows(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        completed_pages, anti_remaining, batch_outcomes, batch_texts, dead_letters, batch_progress, request_ids, request_lines, merged_profiles, cost_rollup, shard_pack, fuzzy_pass_merge,
+        ingest_profiles, ingest_panel, log_to_tables, page_progress, review_book_order, release_sheets, completed_pages, anti_remaining, batch_outcomes, batch_texts, dead_letters, batch_progress, request_ids, request_lines, merged_profiles, cost_rollup, shard_pack, fuzzy_pass_merge,
         fuzzy_pass_merge_confirmed, richness, close_match, release_events, release_book_order, headline_stats, codebook, stream_repage, stream_event_windows,
     )
 }
@@ -150,7 +193,31 @@ _RATE = "case model " + " ".join(f"when '{m}' then ((input_tokens - cached_token
 _RELEASED = f"""select e.*, l.city as institution_city, l.state_region as institution_state_region, l.country as institution_country, l.source as institution_location_source
 from ({panel_queries.ORACLE['events_long']}) e left join ({bridge_queries.ORACLE['lookup_source']}) l on e.institution_organization = l.institution"""
 
+_YEAR = lambda x: f"case when json_type({x}) = 'VARCHAR' then {sql.coerce_year(f"({x})->>'$'")} else try_cast(trunc(try_cast(({x})->>'$' as double)) as int) end"
+_LIST = lambda f: f"list_filter(case json_type(s, '$.{f}') when 'ARRAY' then json_extract(s, '$.{f}[*]') when 'NULL' then null else [json_extract(s, '$.{f}')] end, lambda x: json_type(x) <> 'NULL')"
+_BARE = lambda f: f"case when json_type(x) = 'OBJECT' then x->>'$.{f}' else x->>'$' end"
+_DEGREES_OF = f"list_transform({_LIST('education')}, lambda x: struct_pack(degree_type := {_BARE('degree_type')}, institution := x->>'$.institution', year := {_YEAR("json_extract(x, '$.year')")}, end_year := {_YEAR("json_extract(x, '$.end_year')")}))"
+_POSTS_OF = lambda f: f"list_transform({_LIST(f)}, lambda x: struct_pack(position_title := {_BARE('position_title')}, institution_org := x->>'$.institution_org', start_year := {_YEAR("json_extract(x, '$.start_year')")}, end_year := {_YEAR("json_extract(x, '$.end_year')")}, is_current_position := coalesce(try_cast(x->>'$.is_current_position' as boolean), false)))"
+_SOCIETIES = f"list_transform({_LIST('societies')}, lambda x: case when json_type(x) = 'OBJECT' then array_to_string(list_filter(list_transform(list_sort(json_keys(x)), lambda k: json_extract_string(x, '$.' || k)), lambda v: v not in ('', '0', 'false')), '; ') else x->>'$' end)"
+#: The profiles of page_records as a table like scientist_profiles.
+_INGESTED = f"""{problems.WHOLE},
+attempts as (select record_id, focus_page_number as page, row_number() over (partition by focus_page_number order by received_at, pass_no, record_id) as pass_no from page_records where status = 'ok' and focus_page_number is not null),
+ingested as (select record_id, page * 4294967296 + pass_no * 65536 + scientist_pos as profile_id, page as source_page, cast(scientist_pos as int) as pos, cast(pass_no as int) as pass_no,
+ s->>'$.full_name' as full_name, s->>'$.department' as department, s->>'$.mailing_address' as mailing_address, coalesce(try_cast(s->>'$.star_status' as boolean), false) as star_status, s->>'$.birth_date' as birth_date,
+ {_YEAR("json_extract(s, '$.birth_year')")} as birth_year, {_DEGREES_OF} as education, {_POSTS_OF('employment')} as employment, nullif({_POSTS_OF('minor_positions')}, []) as minor_positions, {_SOCIETIES} as societies
+ from scientists join attempts using (record_id) where json_type(s) = 'OBJECT')"""
+_LINE = lambda c, *fs: f"array_to_string(list_transform({c}, lambda x: " + " || ':' || ".join(f"coalesce(cast(x.{f} as varchar), '-')" for f in fs) + "), '|')"
+_POST_LINE = ("position_title", "start_year", "end_year", "is_current_position")
+
 ORACLE = {
+    "ingest_profiles": f"""with {_INGESTED} select record_id, pos, pass_no, full_name, department, mailing_address, star_status, birth_date, birth_year, {_LINE('education', 'degree_type', 'institution', 'year', 'end_year')} as education,
+ {_LINE('employment', *_POST_LINE)} as employment, {_LINE('minor_positions', *_POST_LINE)} as minor_positions, array_to_string(societies, '|') as societies from ingested""",
+    "ingest_panel": f"with {_INGESTED}, scientist_profiles as (select * from ingested), " + panel_queries.ORACLE["balanced_panel"].strip().removeprefix("with "),
+    "page_progress": "select page, printf('[%d/%d]', row_number() over (order by page), count(*) over ()) as progress from (select distinct focus_page_number as page from page_records)",
+    "review_book_order": f"""select profile_id, page, s.pass_no, s.pos, row_severity, row_number() over (order by coalesce(page, 0), s.pass_no, s.pos, profile_id) as ordinal
+from ({check_queries.ORACLE['review_view']}) v join (select profile_id, pass_no, pos from scientist_profiles) s using (profile_id)""",
+    "release_sheets": f"""select sheet, row_number() over (partition by sheet order by n_events desc nulls last, institution nulls first, bridge_id) as ordinal, bridge_id, institution, n_events
+from (select *, case when {bridge_queries.BLANK} then 'blank' else 'located' end as sheet from institution_locations_1927)""",
     "completed_pages": "select distinct focus_page_number as page from page_records where status = 'ok'",
     "anti_remaining": "select distinct source_page as page from scientist_profiles s where not exists (select 1 from page_records p where p.status = 'ok' and p.focus_page_number = s.source_page)",
     "batch_outcomes": f"select * exclude (text) from ({_DECODED})",

@@ -131,7 +131,7 @@ with spells as (
 """
 
 # A page object as the operator sees it: a single scientist is a list of one, null fields and entries are nothing.
-_WHOLE = r"""
+WHOLE = r"""
 j as (select record_id, case when json_valid(raw_json) then cast(raw_json as json) end as j from page_records where status = 'ok'),
 t as (select record_id, j, nullif(regexp_extract(array_to_string(list_transform(list_filter(json_extract(j, '$.response.body.output[*].content[*]'),
    lambda p: p->>'$.type' = 'output_text'), lambda p: coalesce(p->>'$.text', '')), ''), '(?s)\{.*\}', 0), '') as part from j),
@@ -144,7 +144,7 @@ items as (select record_id, scientist_pos, list_name, i - 1 as item_pos, l[i] as
 
 _ITEM = "select record_id, cast(scientist_pos as int) as scientist_pos, cast(item_pos as int) as item_pos"
 _POST_SQL = (
-    f"with {_WHOLE} {_ITEM}, case when json_type(item) = 'OBJECT' then item->>'$.position_title' else item->>'$' end as position_title,"
+    f"with {WHOLE} {_ITEM}, case when json_type(item) = 'OBJECT' then item->>'$.position_title' else item->>'$' end as position_title,"
     " item->>'$.institution_org' as institution_org, item->>'$.start_year' as start_year, item->>'$.end_year' as end_year, item->>'$.is_current_position' as is_current_position from items where list_name = '{}'"
 )
 #: What tells two items apart: their keys and values, whatever the order of the keys and however numbers are blanked.
@@ -153,20 +153,20 @@ _PROFILE_ITEMS = "(select profile_id, source_page, cast(i - 1 as int) as item_po
 _PROFILE_POST = "select profile_id, source_page, item_pos, x.position_title as position_title, x.institution_org as institution_org, x.start_year as start_year, x.end_year as end_year, x.is_current_position as is_current_position from "
 
 ORACLE = {
-    "p6_unread": f"""with {_WHOLE} select record_id, case when coalesce(status, '') <> 'ok' then 'status ' || coalesce(status, '') else 'no text' end as reason from page_records where coalesce(status, '') <> 'ok' or raw_json is null
+    "p6_unread": f"""with {WHOLE} select record_id, case when coalesce(status, '') <> 'ok' then 'status ' || coalesce(status, '') else 'no text' end as reason from page_records where coalesce(status, '') <> 'ok' or raw_json is null
 union all select record_id, 'damaged' from page_records p where status = 'ok' and raw_json is not null and not exists (select 1 from pages q where q.record_id = p.record_id and json_type(q.page) = 'OBJECT')""",
-    "p6_nodes": f"with {_WHOLE} select list_name, count(*) as n_items, count(distinct {_IDENTITY}) as n_objects from items group by 1",
+    "p6_nodes": f"with {WHOLE} select list_name, count(*) as n_items, count(distinct {_IDENTITY}) as n_objects from items group by 1",
     "p6_employment": _POST_SQL.replace("'{}'", "'employment'"),
     "p6_minor_positions": _POST_SQL.replace("'{}'", "'minor_positions'"),
     "p6_profile_education": f"select profile_id, source_page, item_pos, x.degree_type as degree_type, x.institution as institution, x.year as year, x.end_year as end_year from {_PROFILE_ITEMS.format('education')}",
     "p6_profile_employment": _PROFILE_POST + _PROFILE_ITEMS.format("employment"),
     "p6_profile_minor_positions": _PROFILE_POST + _PROFILE_ITEMS.format("minor_positions"),
     "p6_profile_societies": f"select profile_id, source_page, item_pos, x as name from {_PROFILE_ITEMS.format('societies')}",
-    "p6_found": f"with {_WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, list_name, cast(item_pos as int) as item_pos from items",
-    "p6_education": f"""with {_WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, cast(item_pos as int) as item_pos,
+    "p6_found": f"with {WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, list_name, cast(item_pos as int) as item_pos from items",
+    "p6_education": f"""with {WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, cast(item_pos as int) as item_pos,
  case when json_type(item) = 'OBJECT' then item->>'$.degree_type' else item->>'$' end as degree_type, item->>'$.institution' as institution, item->>'$.year' as year, item->>'$.end_year' as end_year
 from items where list_name = 'education'""",
-    "p6_societies": f"""with {_WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, cast(item_pos as int) as item_pos,
+    "p6_societies": f"""with {WHOLE} select record_id, cast(scientist_pos as int) as scientist_pos, cast(item_pos as int) as item_pos,
  case when json_type(item) = 'OBJECT' then item->>'$.name' else item->>'$' end as name, item->>'$.since' as since from items where list_name = 'societies'""",
     "p3_found": f"""select bridge_id from institution_locations_1927 b left join ({_COUNTS}) e using (shard, institution)
 where b.n_events is null or b.n_events <> coalesce(e.n_rows, 0)""",

@@ -6,27 +6,76 @@ import csv
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SPELL = "struct<position_title:string, institution_org:string, start_year:string, end_year:string, is_current_position:boolean>"
-PROFILE = f"""struct<full_name:string, titles:string, mailing_address:string, mailing_city:string, mailing_state:string, mailing_country:string, star_status:boolean,
-department:string, birth_place:string, birth_city:string, birth_state:string, birth_country:string, birth_date:string, birth_year:string,
-education:array<struct<degree_type:string, institution:string, year:string, end_year:string>>, employment:array<{SPELL}>, minor_positions:array<{SPELL}>,
-societies:array<string>, research_accomplished:string, research_in_progress:string>"""
-PASS = f"focus_page_number int, status string, timestamp string, n_scientists int, pass int, via string, scientists array<{PROFILE}>, _corrupt_record string"
+from annuary.functions import loose
+from annuary.operators.batch import json_part, output_text
+from annuary.session import numbered
+
+PASS = "focus_page_number int, status string, timestamp string, n_scientists int, pass int, via string, scientists variant, _corrupt_record string"
+#: The text fields of a profile, in the order of its schema.
+TEXT_FIELDS = ["full_name", "titles", "mailing_address", "mailing_city", "mailing_state", "mailing_country"]
+MORE_TEXT = ["department", "birth_place", "birth_city", "birth_state", "birth_country", "birth_date"]
+_DEGREE = {"degree_type": loose.text, "institution": loose.text, "year": loose.year, "end_year": loose.year}
+_POST_ARRAY = "array<struct<position_title:string, institution_org:string, start_year:int, end_year:int, is_current_position:boolean>>"
+_POST = {"position_title": loose.text, "institution_org": loose.text, "start_year": loose.year, "end_year": loose.year, "is_current_position": loose.flag}
 
 
 def read_passes(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """Lines of a pass log. Damaged lines are kept as _corrupt_record, or fail the read if strict."""
+    """Lines of a pass log, the profiles as they were written. Damaged lines are kept as _corrupt_record, or fail the
+    read if strict; a line whose shapes are only loose is not damaged."""
     reader = spark.read.schema(PASS).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     return reader.option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
 
 
+def damaged_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line) of a pass log that are neither blank nor whole JSON, as they stand in it."""
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    return lines.where((F.trim("line") != "") & F.try_parse_json("line").isNull())
+
+
+def passes_of(records: DataFrame) -> DataFrame:
+    """The rows of page_records as passes: the page object of each, whether it came by itself or in a batch line.
+
+    A record without whole JSON, or nested deeper than Spark's parser goes (1,000 levels), has null scientists.
+    """
+    whole = F.try_parse_json("raw_json")
+    page = F.when(loose.field(whole, "response").isNull(), whole).otherwise(F.try_parse_json(json_part(output_text(F.col("raw_json")))))
+    return records.select(
+        "record_id", "focus_page_number", "status", F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.col("pass_no").alias("pass"), "via", loose.field(page, "scientists").alias("scientists"),
+    )
+
+
 def profiles_of(passes: DataFrame) -> DataFrame:
-    """One row per profile of the passes with status ok, with its page, pass and place; years still as text."""
-    rows = passes.where("status = 'ok'").select(F.col("focus_page_number").alias("source_page"), F.coalesce("pass", F.lit(1)).alias("pass_no"), F.posexplode("scientists").alias("pos", "p"))
-    return rows.where("p is not null").select("source_page", "pass_no", "pos", "p.*")
+    """One row per profile of the passes with status ok, in the schema of scientist_profiles.
+
+    Years written as text or with two digits are read, a single value in place of a list counts as one entry, a
+    text in place of a record is its title. Null entries keep their place and give no row. pass_no counts the
+    completed passes of a page from 1 in the order of their time; profile_id is made of page, pass and place, so
+    it is the same in every run. Rows without a page are left out.
+    """
+    tie = F.col("record_id") if "record_id" in passes.columns else F.xxhash64(F.to_json(F.struct("scientists")))
+    order = Window.partitionBy("focus_page_number").orderBy("timestamp", "pass", tie)
+    ok = passes.where("status = 'ok' and focus_page_number is not null").withColumn("pass_no", F.row_number().over(order))
+    every = F.when(loose.kind_of(F.col("scientists")) == "ARRAY", F.try_variant_get("scientists", "$", "array<variant>")).otherwise(F.array("scientists"))
+    keep = [c for c in ("record_id",) if c in passes.columns]
+    rows = ok.select(*keep, "focus_page_number", "pass_no", "via", "timestamp", F.posexplode(every).alias("pos", "p")).where(loose.kind_of(F.col("p")) == "OBJECT")
+    fit = F.when((F.col("pos") < 1 << 16) & (F.col("pass_no") < 1 << 16), F.col("focus_page_number").cast("bigint") * (1 << 32) + F.col("pass_no") * (1 << 16) + F.col("pos"))
+    part = lambda name: loose.field(F.col("p"), name)
+    return rows.select(
+        *keep,
+        F.coalesce(fit, F.raise_error(F.lit("more than 65,535 passes or entries on one page"))).alias("profile_id"),
+        F.col("focus_page_number").alias("source_page"), "pos", "pass_no", "via", F.col("timestamp").try_cast("timestamp_ntz").alias("extracted_at"),
+        *[loose.text(part(c)).alias(c) for c in TEXT_FIELDS], loose.flag(part("star_status")).alias("star_status"), *[loose.text(part(c)).alias(c) for c in MORE_TEXT],
+        loose.year(part("birth_year")).alias("birth_year"),
+        loose.records(part("education"), "degree_type", _DEGREE).alias("education"),
+        loose.records(part("employment"), "position_title", _POST).alias("employment"),
+        F.nullif(loose.records(part("minor_positions"), "position_title", _POST), F.array().cast(_POST_ARRAY)).alias("minor_positions"),
+        loose.texts(part("societies")).alias("societies"),
+        *[loose.text(part(c)).alias(c) for c in ("research_accomplished", "research_in_progress")],
+    )
 
 
 def completed_pages(passes: DataFrame, page: str = "focus_page_number") -> DataFrame:
@@ -34,7 +83,7 @@ def completed_pages(passes: DataFrame, page: str = "focus_page_number") -> DataF
 
 
 def remaining_pages(pages: DataFrame, completed: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Pages of the range that no pass has completed."""
+    """Pages of the range (both ends included) that no pass has completed."""
     wanted = pages.select("page").distinct()
     if first is not None:
         wanted = wanted.where(F.col("page") >= first)
@@ -43,9 +92,17 @@ def remaining_pages(pages: DataFrame, completed: DataFrame, first: int | None =
     return wanted.join(completed, "page", "left_anti")
 
 
+def numbered_pages(pages: DataFrame, first_only: int | None = None) -> DataFrame:
+    """(page, progress): the pages in order, each with its place among them as '[i/n]'; or only the first so many."""
+    placed = numbered(pages.select("page").distinct(), [F.asc("page")], "i")
+    total = placed.agg(F.count("*").alias("n"))
+    rows = placed.join(F.broadcast(total)).select("page", "i", F.format_string("[%d/%d]", "i", "n").alias("progress"))  # one row
+    return (rows if first_only is None else rows.where(F.col("i") <= first_only)).drop("i")
+
+
 def page_attempts(passes: DataFrame, page: int) -> DataFrame:
-    """All completed passes over one page."""
-    return passes.where((F.col("status") == "ok") & (F.col("focus_page_number") == page))
+    """All completed passes over one page, in the order of their time."""
+    return passes.where((F.col("status") == "ok") & (F.col("focus_page_number") == page)).orderBy("timestamp", "pass")
 
 
 def read_profiles_json(spark: SparkSession, path: str) -> DataFrame:
@@ -58,6 +115,13 @@ def read_text_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame
     return spark.read.option("header", True).option("escape", '"').option("multiLine", True).option("sep", sep).csv(path)
 
 
+def typed_columns(df: DataFrame, integers: list[str], flags: list[str] = ()) -> DataFrame:
+    """A text table with its numbers as numbers again: what is no number becomes null, in a flag 0."""
+    number = lambda c: F.col(c).try_cast("double").cast("int")
+    kinds = {c: number(c) for c in integers if c in df.columns} | {c: F.coalesce(number(c), F.lit(0)) for c in flags if c in df.columns}
+    return df.withColumns(kinds) if kinds else df
+
+
 def read_findings(spark: SparkSession, path: str) -> DataFrame:
     """Findings separated by semicolons, as (page, scientist, messages)."""
     rows = read_text_table(spark, path, ";")
@@ -92,6 +156,16 @@ def export_single_file(df: DataFrame, path: str, sep: str = ",") -> int:
     return n
 
 
+def write_archive(profiles: DataFrame, path: str) -> None:
+    """The profiles with all that is nested in them as lines of JSON, nulls kept, written by all tasks."""
+    profiles.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_debug_texts(dead_letters: DataFrame, path: str) -> None:
+    """What came back from the calls that failed (record_id, page, outcome, text), for looking at by hand."""
+    dead_letters.select("record_id", "page", "outcome", "text").write.mode("append").partitionBy("outcome").json(path)
+
+
 def write_failures(dead_letters: DataFrame, path: str) -> None:
     """Failed calls as lines of tab-separated text, added to those that are there."""
     dead_letters.write.mode("append").option("sep", "\t").csv(path)

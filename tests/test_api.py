@@ -21,7 +21,8 @@ def test_release(spark, profiles):
     p = profiles({"full_name": "Bell, A", "birth_year": 1900, "employment": [job("x", "A", 1920)]}, {"full_name": "Mononym"})
     b = spark.createDataFrame([(1, "A", 1, "Town", "", "", "")], "bridge_id bigint, institution string, n_events int, city string, state_region string, country string, notes string")
     tables = api.publish_release(p, b)
-    assert set(tables) == {"scientists", "panel", "events", "locations", "codebook", "headline"}
+    assert set(tables) == {"scientists", "panel", "events", "locations", "located", "blank", "codebook", "headline"}
+    assert tables["located"].count() == 1 and tables["blank"].count() == 0
     assert [r["last_name"] for r in tables["scientists"].collect()] == ["Bell", ""]
     assert tables["panel"].count() == 28 + 1
 
