@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annuary.session import cut_lineage, numbered
+
 #: Price per million fresh, cached and produced tokens of three models; a batch costs half.
 RATES = {"large": (5.00, 0.50, 30.00), "medium": (2.50, 0.25, 15.00), "small": (0.50, 0.05, 3.00)}
 BATCH_SHARE = 0.5
@@ -119,27 +121,60 @@ def cost_rollup(calls: DataFrame, extrapolate_to: int) -> DataFrame:
     )
 
 
+#: Requests whose sizes travel as one block to the task that folds them.
+BLOCK = 50_000
+
+
+def _files_of(sizes: np.ndarray, state: tuple[int, int, int], max_bytes: int, max_requests: int) -> tuple[np.ndarray, tuple[int, int, int]]:
+    """The file of each request from the state (file, its bytes, its requests) before them, and the state after.
+
+    Whole files are found in the running sum, one search for each.
+    """
+    number, held, count = state
+    out = np.empty(len(sizes), dtype=np.int64)
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    at = 0
+    while at < len(sizes):
+        room = int(np.searchsorted(sums, sums[at] + max_bytes - held, side="right")) - 1 if number else at
+        stop = min(room, at + max_requests - count, len(sizes))
+        if stop <= at:
+            # Nothing more fits; a request that is larger than a file has one to itself.
+            number, held, count = number + 1, int(sizes[at]), 1
+            out[at] = number
+            at += 1
+            continue
+        out[at:stop] = number
+        held, count, at = held + int(sums[stop] - sums[at]), count + stop - at, stop
+    return out, (number, held, count)
+
+
 def pack_requests(requests: DataFrame, max_bytes: int = MAX_BYTES, max_requests: int = MAX_REQUESTS) -> DataFrame:
     """Requests (request_no, bytes) with the number of their file from 1: a new file when bytes or count would pass the limit.
 
-    Each file starts where the one before it ended, so the rows are read in order; only the two numbers of a
-    request pass through the one task, which holds a batch at a time.
+    Each file starts where the one before it ended, so one task must see all sizes in order. The requests are
+    sorted and gathered into blocks by all tasks; the one task reads a block of sizes at a time and hands back the
+    state before each block, from which the blocks are numbered by all tasks again.
     """
-    ordered = requests.select("request_no", "bytes").coalesce(1).sortWithinPartitions("request_no")
+    placed = numbered(requests.select("request_no", "bytes"), [F.asc("request_no")]).withColumn("block", F.floor((F.col("ordinal") - 1) / BLOCK))
+    rows = F.sort_array(F.collect_list(F.struct("ordinal", "request_no", "bytes")))  # BLOCK of them
+    blocks = cut_lineage(placed.groupBy("block").agg(rows.alias("r")).select("block", F.col("r.request_no").alias("request_no"), F.col("r.bytes").alias("bytes")))
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state = (0, 0, 0)
+        for b in batches:
+            out = []
+            for block, sizes in zip(b["block"].tolist(), b["bytes"], strict=True):
+                out.append((block, *state))
+                state = _files_of(np.asarray(sizes), state, max_bytes, max_requests)[1]
+            yield pd.DataFrame(out, columns=["block", "number", "held", "count"])
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, size, count = 0, 0, 0
         for b in batches:
-            out = np.empty(len(b), dtype=np.int64)
-            for i, n in enumerate(b["bytes"].tolist()):
-                if number == 0 or size + n > max_bytes or count >= max_requests:
-                    number, size, count = number + 1, 0, 0
-                size += n
-                count += 1
-                out[i] = number
-            yield pd.DataFrame({"request_no": b["request_no"], "file_no": out})
-
-    return ordered.mapInPandas(fill, "request_no bigint, file_no bigint")
+            for r in b.itertuples(index=False):
+                yield pd.DataFrame({"request_no": r.request_no, "file_no": _files_of(np.asarray(r.bytes), (r.number, r.held, r.count), max_bytes, max_requests)[0]})
+
+    before = blocks.select("block", "bytes").repartition(1).sortWithinPartitions("block").mapInPandas(walk, "block bigint, number bigint, held bigint, count bigint")
+    return blocks.join(before, "block").mapInPandas(fill, "request_no bigint, file_no bigint")
 
 
 def progress(decoded: DataFrame) -> DataFrame:

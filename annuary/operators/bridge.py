@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annuary.functions.text import null_to_blank, strip, tokens
+from annuary.session import cut_lineage, numbered
 
 #: Words that may follow an institution's name inside an address segment.
 GENERIC_WORDS = (
@@ -56,15 +57,25 @@ def segment_matches(name: Column, seg: Column) -> Column:
 
 
 def address_votes(profiles: DataFrame) -> DataFrame:
-    """(institution, place, votes) by the theta join, blocked on the first four letters of the name's first token.
+    """(institution, place, votes) by the theta join of names and address segments.
 
+    The first four letters of any token of a name are those of a token of the segment, if the token is that long;
+    those of the first token in any case. Each name waits under the one of these blocks that the fewest different
+    segments have, so names that begin alike ('University of ...') do not meet every segment with such a word.
     Equal segments vote together, so a place that a third of all rows share is one row of the join.
     """
     names = institution_counts(profiles).select("institution", tokens(F.col("institution")).alias("name")).where("size(name) > 0 and aggregate(name, 0, (a, t) -> a + length(t)) >= 4")
-    left = names.withColumn("block", F.substring(F.get("name", 0), 1, 4))
-    blocks = F.array_distinct(F.transform("seg", lambda t: F.substring(t, 1, 4)))
-    right = address_segments(profiles).withColumn("block", F.explode(blocks))
-    hits = left.join(right, "block").where(segment_matches(F.col("name"), F.col("seg")))
+    head = lambda t: F.substring(t, 1, 4)
+    segments = cut_lineage(address_segments(profiles))
+    right = segments.withColumn("block", F.explode(F.array_distinct(F.transform("seg", head))))
+    sizes = right.groupBy("block").agg(F.count("*").alias("n"))
+    first = head(F.get("name", 0))
+    usable = F.array_distinct(F.concat(F.array(first), F.transform(F.filter("name", lambda t: F.length(t) >= 4), head)))
+    # A name one of whose blocks no segment has can match none.
+    asked = names.select("institution", F.explode(usable).alias("block")).join(sizes, "block", "left")
+    rarest = asked.groupBy("institution").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "block")).alias("m")).where("m.n > 0").select("institution", "m.block")
+    left = names.join(rarest, "institution")
+    hits = left.join(right, "block").where(F.exists("seg", lambda t: head(t) == first) & segment_matches(F.col("name"), F.col("seg")))
     return hits.groupBy("institution", *PLACE_COLUMNS).agg(F.sum("votes").alias("votes"))
 
 
@@ -148,13 +159,10 @@ def location_stats(bridge: DataFrame) -> DataFrame:
 def propose_targets(bridge: DataFrame, min_events: int = 20, batch: int = 25) -> DataFrame:
     """Rows without a place, common enough and not proposed before, in batches of the most frequent first.
 
-    The ordinal is dense over all rows: ranks within range partitions are shifted by the sizes of those before.
+    The ordinal is dense over all rows; rows are sorted in ranges, and each range counts on from those before it.
     """
     wanted = bridge.where(no_place() & (F.coalesce("n_events", F.lit(0)) >= min_events) & ~F.coalesce(F.col("notes").startswith("ai:"), F.lit(False)))
-    by_count = wanted.groupBy(F.coalesce("n_events", F.lit(0)).alias("n")).agg(F.count("*").alias("c"))
-    before = by_count.alias("a").join(by_count.alias("b"), F.col("b.n") > F.col("a.n"), "left").groupBy(F.col("a.n").alias("n_events")).agg(F.coalesce(F.sum("b.c"), F.lit(0)).alias("before"))
-    ranked = wanted.withColumn("r", F.row_number().over(Window.partitionBy("n_events").orderBy("institution", "bridge_id")))
-    placed = ranked.join(before, "n_events").withColumn("ordinal", F.col("before") + F.col("r"))
+    placed = numbered(wanted.select("bridge_id", "institution", "n_events"), [F.desc("n_events"), F.asc("institution"), F.asc("bridge_id")])
     return placed.select("bridge_id", "institution", "n_events", "ordinal", F.floor((F.col("ordinal") - 1) / batch).alias("batch_no"))
 
 

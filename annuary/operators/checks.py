@@ -17,6 +17,8 @@ JOB_WORD = r"(?i)^(instr|prof|asst|assoc|dir|lect|fellow|res|dean|head|supt|chie
 FIRST_YEAR, LAST_BIRTH, ADULT = 1800, 1915, 15
 MANY_CURRENT = 4
 MIN_PAGES, LOW_SHARE = 5, 0.6
+#: Pages that a finding about a repeated name spells out; the number of the others is added.
+LISTED_PAGES = 200
 #: Pages per bucket in the search for neighbouring pages.
 BUCKET = 4096
 #: The codes whose pages are worth another pass.
@@ -167,19 +169,30 @@ def alpha_window(profiles: DataFrame) -> DataFrame:
 
 
 def duplicate_entities(profiles: DataFrame) -> DataFrame:
-    """Names on more than one entry; the pages are counted first, so a very common name is few rows."""
-    pages = profiles.groupBy(strip(F.coalesce("full_name", F.lit(""))).alias("scientist"), F.col("source_page").alias("p")).agg(F.count("*").cast("int").alias("n"))
-    names = pages.groupBy("scientist").agg(F.max("p").alias("page"), F.sum("n").alias("hits"), F.sort_array(F.collect_list(F.struct("p", "n"))).alias("at")).where("hits > 1")
-    listed = F.array_join(F.flatten(F.transform("at", lambda x: F.array_repeat(x["p"].cast("string"), x["n"]))), ", ")
-    return names.select(F.lit("error").alias("severity"), F.lit("duplicate_scientist").alias("code"), "page", "scientist", F.concat(F.lit("appears on pages ["), listed, F.lit("]")).alias("detail"))
+    """Names on more than one entry, each with its pages; of more than LISTED_PAGES only so many are spelt out.
+
+    The pages of a name are counted and ranked before they are listed, so even the nameless rows, which are one
+    name, make a short row.
+    """
+    name = strip(F.coalesce("full_name", F.lit(""))).alias("scientist")
+    pages = profiles.groupBy(name, F.col("source_page").alias("p")).agg(F.count("*").cast("int").alias("n"))
+    totals = pages.groupBy("scientist").agg(F.max("p").alias("page"), F.sum("n").alias("hits")).where("hits > 1")
+    first = pages.withColumn("r", F.row_number().over(Window.partitionBy("scientist").orderBy("p"))).where(F.col("r") <= LISTED_PAGES)
+    at = first.groupBy("scientist").agg(F.sort_array(F.collect_list(F.struct("p", "n"))).alias("at"))
+    every = F.flatten(F.transform("at", lambda x: F.array_repeat(x["p"].cast("string"), F.least(x["n"], F.lit(LISTED_PAGES)))))
+    listed = F.array_join(F.slice(every, 1, LISTED_PAGES), ", ")
+    more = F.when(F.col("hits") > LISTED_PAGES, F.format_string(" and %d more", F.col("hits") - LISTED_PAGES)).otherwise("")
+    return totals.join(at, "scientist").select(
+        F.lit("error").alias("severity"), F.lit("duplicate_scientist").alias("code"), "page", "scientist", F.concat(F.lit("appears on pages ["), listed, more, F.lit("]")).alias("detail")
+    )
 
 
-def low_yield(profiles: DataFrame) -> DataFrame:
-    """Pages with far fewer entries than the median page; nothing for fewer than five pages."""
+def low_yield(profiles: DataFrame, share: float = LOW_SHARE) -> DataFrame:
+    """Pages with far fewer entries (less than share) than the median page; nothing for fewer than five pages."""
     pages = profiles.groupBy(F.col("source_page").alias("page")).agg(F.count("*").alias("n"))
     typical = pages.agg(F.percentile("n", F.lit(0.5)).alias("median"), F.count("*").alias("pages"))
     rows = pages.join(F.broadcast(typical))  # one row
-    return rows.where((F.col("pages") >= MIN_PAGES) & (F.col("n") < F.greatest(F.lit(1.0), F.col("median") * LOW_SHARE))).select(
+    return rows.where((F.col("pages") >= MIN_PAGES) & (F.col("n") < F.greatest(F.lit(1.0), F.col("median") * share))).select(
         F.lit("warn").alias("severity"), F.lit("low_entry_count").alias("code"), "page", F.lit("").alias("scientist"),
         F.format_string("%d entries vs a median of %s across the run", F.col("n"), F.bround("median", 0).cast("bigint").cast("string")).alias("detail"),
     )

@@ -109,21 +109,25 @@ def balanced_panel(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFram
 
 
 def max_concurrency(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFrame:
-    """(kind, slots): the most records of a kind in any one year, years before the panel included, 1 at least."""
-    parts = None
-    for k in KINDS:
-        spells = profiles.select(spell_array(k, edition).alias("s")).withColumn("r", has_repeats(F.col("s")))
-        years = F.array_distinct(F.flatten(F.transform("s", lambda s: F.sequence(s["a"], s["b"]))))
-        top = F.array_max(F.transform(years, lambda y: F.size(slots_of_year(F.col("s"), F.col("r"), y))))
-        one = spells.agg(F.greatest(F.coalesce(F.max(top), F.lit(1)), F.lit(1)).alias("slots")).select(F.lit(k).alias("kind"), "slots")
-        parts = one if parts is None else parts.unionByName(one)
-    return parts
+    """(kind, slots): the most records of a kind in any one year, years before the panel included, 1 at least.
+
+    All kinds are measured in one pass over the rows.
+    """
+
+    def top(kind: str) -> Column:
+        years = F.array_distinct(F.flatten(F.transform(F.col(kind), lambda s: F.sequence(s["a"], s["b"]))))
+        return F.array_max(F.transform(years, lambda y: F.size(slots_of_year(F.col(kind), F.col(f"{kind}_repeats"), y))))
+
+    spells = profiles.select(*[spell_array(k, edition).alias(k) for k in KINDS]).select("*", *[has_repeats(F.col(k)).alias(f"{k}_repeats") for k in KINDS])
+    most = spells.agg(*[F.greatest(F.coalesce(F.max(top(k)), F.lit(1)), F.lit(1)).alias(k) for k in KINDS])
+    return most.select(F.explode(F.create_map(*[x for k in KINDS for x in (F.lit(k), F.col(k))])).alias("kind", "slots"))
 
 
 def panel_wide(profiles: DataFrame, edition: int = EDITION_YEAR, slots: dict[str, int] | None = None) -> DataFrame:
     """The panel in its printed columns, one numbered pair per slot; blanks are ''.
 
-    slots gives the number of slots per kind; left out, it is measured first (one small result).
+    slots gives the number of slots per kind; left out, it is measured first (one small result). A record beyond
+    the given number has no column here; panel_years keeps the slots of a year as arrays of any length.
     """
     if slots is None:
         slots = {r["kind"]: r["slots"] for r in max_concurrency(profiles, edition).collect()}

@@ -48,6 +48,12 @@ def median_yield(spark, d):
     return checks.low_yield(_profiles(spark, d))
 
 
+def median_yield_of_records(spark, d):
+    """The same over the events of each page, with a share that many pages fall below."""
+    events = read_table(spark, d, "career_events_1927").select(F.col("source_pdf_page").alias("source_page"))
+    return checks.low_yield(events, 0.9)
+
+
 def star_mismatch(spark, d):
     return checks.star_mismatch(_profiles(spark, d), _first_text(spark, d))
 
@@ -133,7 +139,7 @@ def quality_run(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        profile_checks, out_of_order, page_overlap, alpha_window, duplicate_entities, median_yield, star_mismatch, star_mismatch_all_texts, findings_report, suspect_pages, top8_per_code,
+        profile_checks, out_of_order, page_overlap, alpha_window, duplicate_entities, median_yield, median_yield_of_records, star_mismatch, star_mismatch_all_texts, findings_report, suspect_pages, top8_per_code,
         findings_flags, review_view, position_lines, group_break, dedupe_first, printed_count, printed_count_all_texts, entry_candidates, entry_candidates_all_texts, printed_headings, text_layer_checks, subtractive_repair, omissions, quality_run,
     )
 }
@@ -177,7 +183,7 @@ from (select *, lag(surname) over (partition by page order by ord) as before fro
 _OVERLAP = """select 'error' as severity, 'empty_page' as code, page, '' as scientist, 'no profiles returned' as detail from ends where last is null
 union all select 'error', 'page_overlap', page, first, printf('page starts at ''%s'', before page %d ended at ''%s'' -- possible duplicated entries', first, pp, pl)
 from (select *, lag(last) over (order by page) as pl, lag(page) over (order by page) as pp from ends where last is not null) where lower(first) < lower(pl)"""
-_DUPLICATE = f"""select 'error' as severity, 'duplicate_scientist' as code, max(source_page) as page, name as scientist, 'appears on pages [' || string_agg(source_page, ', ' order by source_page) || ']' as detail
+_DUPLICATE = f"""select 'error' as severity, 'duplicate_scientist' as code, max(source_page) as page, name as scientist, 'appears on pages [' || array_to_string(list(source_page order by source_page)[1:200], ', ') || case when count(*) > 200 then printf(' and %d more', count(*) - 200) else '' end || ']' as detail
 from (select {sql.strip("coalesce(full_name, '')")} as name, source_page from scientist_profiles) group by name having count(*) > 1"""
 _YIELD = """select 'warn' as severity, 'low_entry_count' as code, page, '' as scientist, printf('%d entries vs a median of %s across the run', n, cast(cast(round_even(m, 0) as bigint) as varchar)) as detail
 from (select source_page as page, count(*) as n from scientist_profiles group by 1), (select median(n) as m, count(*) as c from (select count(*) as n from scientist_profiles group by source_page)) where c >= 5 and n < greatest(1.0, m * 0.6)"""
@@ -199,6 +205,7 @@ ORACLE = {
     "alpha_window": f"with {_NAMED} select page, least(coalesce(low, ''), lower(lag(last) over (order by page))) as lo, greatest(coalesce(high, 'zzzz'), lower(lead(first) over (order by page))) as hi from ends",
     "duplicate_entities": _DUPLICATE,
     "median_yield": _YIELD,
+    "median_yield_of_records": _YIELD.replace("from scientist_profiles", "from (select source_pdf_page as source_page from career_events_1927)").replace("m * 0.6", "m * 0.9"),
     "star_mismatch": f"""select page, printed, starred from (select source_page as page, cast(sum(coalesce(star_status, false)::int) as bigint) as starred from scientist_profiles group by 1)
 join (select page, cast(length(text) - length(replace(text, '*', '')) as bigint) as printed from {_PAGE}) using (page) where printed <> starred""",
     "findings_report": f"{_ALL} select severity, code, count(*) as n, count(distinct page) as n_pages from f group by all",

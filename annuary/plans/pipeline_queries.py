@@ -160,12 +160,12 @@ def codebook(spark, d):
 
 def stream_repage(spark, d):
     path = f"{d}/page_records.parquet"
-    return streams.drain(streams.latest_passes(streams.stream_of(spark, path, spark.read.parquet(path).schema)), "pages")
+    return streams.drain(streams.latest_passes(streams.stream_of(spark, path, spark.read.parquet(path).schema)), ["focus_page_number"])
 
 
 def stream_event_windows(spark, d):
     path = f"{d}/events.parquet"
-    return streams.drain(streams.windowed_counts(streams.stream_of(spark, path, spark.read.parquet(path).schema)), "events")
+    return streams.drain(streams.windowed_counts(streams.stream_of(spark, path, spark.read.parquet(path).schema)), ["window_start", "event_type"])
 
 
 QUERIES = {

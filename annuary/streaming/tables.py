@@ -15,22 +15,42 @@ def stream_of(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{path}*")
 
 
-def drain(result: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Run a streaming aggregation over all that has arrived and read its last result.
+def drain(result: DataFrame, keys: list[str], name: str | None = None) -> DataFrame:
+    """Run a streaming aggregation over all that has arrived since the last time, and read its result by key.
 
-    State and results live below the reliable checkpoint folder, so a lost executor or a restarted driver
-    carries on from the last committed batch.
+    Each batch brings the keys whose value changed; they replace their rows in the stored result, which is written
+    anew beside the old one, so a batch that runs twice changes nothing. State and results live below the reliable
+    checkpoint folder under the given name, and the next call with it goes on from there, in this session or
+    another one; a name must always be used for the same stream. Without a name nothing is kept for later.
     """
     spark = result.sparkSession
-    at = f"{ensure_checkpoint_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
+    at = f"{ensure_checkpoint_dir(spark).rsplit('/', 1)[0]}/stream-{name}" if name else f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = result.schema
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{at}/result")
+    def stored(batch: int) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{at}/result/{batch}") if batch >= 0 else spark.createDataFrame([], schema)
 
-    query = result.writeStream.outputMode(mode).foreachBatch(store).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    def store(changed: DataFrame, batch: int) -> None:
+        # Written first, so that the state is read and changed once.
+        changed.write.mode("overwrite").parquet(f"{at}/changed/{batch}")
+        new = spark.read.schema(schema).parquet(f"{at}/changed/{batch}")
+        old = stored(_last_batch(spark, at, batch)).join(new.select(*keys), keys, "left_anti")
+        old.unionByName(new).write.mode("overwrite").parquet(f"{at}/result/{batch}")
+
+    query = result.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(schema).parquet(f"{at}/result")
+    return stored(_last_batch(spark, at))
+
+
+def _last_batch(spark: SparkSession, at: str, before: int | None = None) -> int:
+    """The number of the last batch (before the given one) whose result is whole; -1 if there is none."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{at}/result")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return -1
+    done = [int(f.getPath().getName()) for f in files.listStatus(folder) if files.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    return max((n for n in done if before is None or n < before), default=-1)
 
 
 def latest_passes(records: DataFrame) -> DataFrame:
@@ -42,7 +62,11 @@ def latest_passes(records: DataFrame) -> DataFrame:
 
 
 def windowed_counts(events: DataFrame, length: str = "1 day", lateness: str = "2 days") -> DataFrame:
-    """Events and their summed value per tumbling window and type, under a watermark."""
+    """Events and their summed value per tumbling window and type, under a watermark.
+
+    A window's state is dropped once the latest event is later than its end by the lateness; what comes for it
+    after that is left out.
+    """
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
     return timed.groupBy(F.window("ts", length).alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value")).select(
         F.col("w.start").alias("window_start"), "event_type", "n", "value"
