@@ -149,10 +149,26 @@ def panel_wide(profiles: DataFrame, edition: int = EDITION_YEAR, slots: dict[str
     )
 
 
+def slots_long(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFrame:
+    """(profile_id, year, kind, slot, role, institution, is_current): the panel's slots as rows, as many as there are."""
+
+    def tagged(kind: str) -> Column:
+        parts = lambda s, i: F.struct(F.lit(kind).alias("kind"), (i + 1).alias("slot"), s["show_role"].alias("role"), s["show_inst"].alias("institution"), s["cur"].alias("is_current"))
+        return F.transform(F.col(kind), parts)
+
+    rows = panel_years(profiles, edition)
+    return rows.select("profile_id", "year", F.explode(F.concat(*map(tagged, KINDS))).alias("s")).select("profile_id", "year", "s.*")
+
+
+def book_keys(df: DataFrame, *more: str) -> list[Column]:
+    """Page, name and the further columns, nulls last, print order breaking ties."""
+    keys = ["source_pdf_page", "last_name", "first_name", *more, *[c for c in ("pos", "profile_id", "kind_no", "item_pos") if c in df.columns]]
+    return [F.asc_nulls_last(k) for k in keys]
+
+
 def in_book_order(df: DataFrame, *more: str) -> DataFrame:
     """Sorted by page, name and the further columns, nulls last, print order breaking ties."""
-    keys = ["source_pdf_page", "last_name", "first_name", *more, *[c for c in ("pos", "profile_id", "kind_no", "item_pos") if c in df.columns]]
-    return df.orderBy(*[F.asc_nulls_last(k) for k in keys])
+    return df.orderBy(*book_keys(df, *more))
 
 
 def events_long(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFrame:

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annuary.operators import bridge as places
 from annuary.operators.panel import events_long, summary
 
 
-def release_order(df: DataFrame, *more: str) -> DataFrame:
+def release_keys(df: DataFrame, *more: str) -> list[Column]:
     """By page, last and first name and the further columns; blank names sort last here."""
     keys = [F.col("source_pdf_page"), F.nullif("last_name", F.lit("")), F.nullif("first_name", F.lit("")), *[F.col(c) for c in more]]
     ties = [F.col(c) for c in ("pos", "profile_id", "kind_no", "item_pos") if c in df.columns]
-    return df.orderBy(*[k.asc_nulls_last() for k in keys + ties])
+    return [k.asc_nulls_last() for k in keys + ties]
+
+
+def release_order(df: DataFrame, *more: str) -> DataFrame:
+    return df.orderBy(*release_keys(df, *more))
 
 
 def bridge_order(locations: DataFrame) -> DataFrame:

@@ -190,6 +190,34 @@ from (select source_page as page, count(*) as n from scientist_profiles group by
 _ALL = f"""with {_BASE}, {_NAMED}, f as (select severity, code, page, scientist, detail from ({_PROFILE_RULES}) union all {_OUT} union all select * from ({_OVERLAP}) union all {_DUPLICATE} union all {_YIELD})"""
 _PAGE = "(select page_no as page, arg_min(text, doc_id) as text from documents where kind = 'page_text' and page_no is not null and text is not null group by 1)"
 _SQUASH = r"regexp_replace(regexp_replace(text, '\s+', '', 'g'), 'AMERICANMENOFSCIENCE', '', 'gi')"
+_BREAK = f"'{ocr.TEXT_BREAK}'"
+#: The different texts of a page, one row each; and all of them in one text.
+_TEXTS = f"(select page_no as page, min(doc_id) as doc_id, arg_min(text, doc_id) as text from documents where kind = 'page_text' and page_no is not null and text is not null group by page_no, {_SQUASH})"
+_ALL_PAGE = f"(select page, string_agg(text, {_BREAK} order by doc_id) as text from {_TEXTS} group by 1)"
+_PLACES = lambda p: f"list_transform(range(1, len(regexp_extract_all(flat, {sql.q(p)})) + 1), lambda i: cast(list_sum(list_transform(string_split_regex(flat, {sql.q(p)})[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(regexp_extract_all(flat, {sql.q(p)})[1:i - 1], lambda x: length(x))), 0) as bigint))"
+_HEADINGS = f"""with flat as (select page, doc_id, regexp_replace(regexp_replace(text, '\\s+', ' ', 'g'), {sql.q(ocr.SPACED_HEADER)}, '', 'g') as flat from {_TEXTS}),
+places as (select page, doc_id, flat, unnest(list_distinct(list_concat({', '.join(_PLACES(p) for p in ocr.HEADINGS)}))) as spot from flat),
+cut as (select page, doc_id, spot, array_to_string(string_split(flat[spot + 1:spot + 90], ',')[1:2], ',') as h from places)
+select page, cast(row_number() over (partition by page order by doc_id, spot) - 1 as int) as ordinal, {sql.strip("regexp_replace(regexp_replace(h, ' ([,).])', '\\1', 'g'), '\\( ', '(', 'g')")} as heading from cut"""
+_OFFSETS = "list_transform(range(1, len(string_split(t, key))), lambda i: cast(list_sum(list_transform(string_split(t, key)[1:i], lambda x: length(x))) as bigint) + (i - 1) * length(key))"
+_AFTER = "t[p + length(key) + 1:p + length(key) + 14 + length(probe)]"
+_NO_BRACKETS = lambda x: f"regexp_replace({x}, '[()]', '', 'g')"
+_LITERAL = lambda x: f"regexp_replace({x}, '([^A-Za-z0-9])', '\\\\\\1', 'g')"
+_REPAIR = f"""with n as (select *, regexp_replace(coalesce(full_name, ''), '\\s+', '', 'g') as name from scientist_profiles),
+shaped as (select *, split_part(name, ',', 1) as sur, regexp_extract(name, '^[^,]*,(.*)$', 1) as rest from n),
+probed as (select *, sur || ',' as key, coalesce(nullif(regexp_extract(rest, '^[^(),]*\\([^)]*\\)', 0), ''), split_part(rest, ',', 1))[1:14] as probe from shaped),
+texts as (select page, doc_id, {_SQUASH} as t from {_TEXTS}),
+slices as (select profile_id, doc_id, t[p + 1:p + 320] as part from (select profile_id, doc_id, t, list_filter({_OFFSETS}, lambda p: contains({_AFTER}, probe) or contains({_NO_BRACKETS(_AFTER)}, {_NO_BRACKETS('probe')}))[1] as p
+  from probed join texts on page = source_page where sur <> '' and rest <> '' and probe <> '') where p is not null),
+found as (select profile_id, string_agg(part, {_BREAK} order by doc_id) as part from slices group by 1),
+d as (select s.profile_id, birth_place, birth_date, birth_year, part, {sql.strip("coalesce(birth_date, '')")} as bd, coalesce(birth_year, 0) <> 0 as has_year, coalesce(birth_place, '') <> '' and regexp_matches(birth_place, {sql.q(checks.DEGREE)}) as degree from scientist_profiles s left join found using (profile_id)),
+e as (select *, regexp_extract(bd, {sql.q(ocr.BIRTH_DATE)}, 1) as m, regexp_replace(regexp_extract(bd, {sql.q(ocr.BIRTH_DATE)}, 2), '^0+(\\d)', '\\1') as dd, regexp_extract(bd, {sql.q(ocr.BIRTH_DATE)}, 3) as y from d),
+f as (select *, y <> '' as dated, ',(?:' || right(y, 2) || '|' || y || ')' as years from e),
+g as (select *, not degree and part is not null and dated and not (regexp_matches(part, '[A-Za-z]{{3,9}}\\.?' || dd || years) or regexp_matches(part, '(?i)' || m[1:3] || '[a-z]*\\.?\\d{{1,2}}' || years)) as no_date from f),
+h as (select *, not degree and part is not null and has_year and not regexp_matches(part, ',' || right(cast(birth_year as varchar), 2) || '[.,;]') and (no_date or not dated) as no_year from g)
+select profile_id, case when not degree then birth_place end as birth_place, case when not (degree or no_date) then birth_date end as birth_date, case when not (degree or no_year) then birth_year end as birth_year,
+ case when degree then 'all birth fields cleared: birth_place ' || {_QUOTED('birth_place')} || ' was degree text' when no_date then 'birth_date ' || {_QUOTED("(m || ' ' || dd || ', ' || y)")} || ' stripped (no printed trace)' || case when no_year then '; birth_year stripped too' else '' end
+ when no_year then 'birth_year ' || birth_year || ' stripped (no printed trace)' else '' end as repair_note from h"""
 _SPAN = sql.span_text
 _DEG_LINE = f"coalesce(nullif(x.degree_type, ''), 'study') || ', ' || coalesce(nullif(x.institution, ''), '?') || ', ' || {_SPAN('x.year', 'x.end_year', 'false')}"
 _POS_LINE = f"coalesce(nullif(x.position_title, ''), '?') || case when coalesce(x.institution_org, '') <> '' then ', ' || x.institution_org else '' end || ', ' || {_SPAN('x.start_year', 'x.end_year', 'coalesce(x.is_current_position, false)')} || case when coalesce(x.is_current_position, false) then '  [current 1927]' else '' end"
@@ -226,3 +254,5 @@ qualify row_number() over (partition by profile_id, record_type, {sql.strip("coa
 from (select profile_id, source_page as page, {sql.surname('full_name')} as surname from scientist_profiles) join (select page, {_SQUASH} as squashed from {_PAGE}) using (page) where surname <> ''""",
     "entry_candidates": "select distinct page, unnest(list_concat(" + ", ".join(f"regexp_extract_all(squashed, {sql.q(p)}, 1)" for p in ocr.ENTRY_STARTS) + f")) as surname from (select page, {_SQUASH} as squashed from {_PAGE})",
 }
+ORACLE |= {f"{name}_all_texts": ORACLE[name].replace(_PAGE, _ALL_PAGE) for name in ("star_mismatch", "printed_count", "entry_candidates")}
+ORACLE |= {"printed_headings": _HEADINGS, "subtractive_repair": _REPAIR}

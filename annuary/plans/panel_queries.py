@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from annuary.functions import people, spells, text
 from annuary.operators import panel
 from annuary.plans import sql
-from annuary.session import read_table
+from annuary.session import numbered, read_table
 
 
 def _profiles(spark: SparkSession, d: str) -> DataFrame:
@@ -42,9 +42,14 @@ def panel_slots_wide(spark, d):
     return panel.panel_wide(_profiles(spark, d))
 
 
+def panel_slots_long(spark, d):
+    return panel.slots_long(_profiles(spark, d))
+
+
 def panel_book_order(spark, d):
-    """The wide panel in the order of the book."""
-    return panel.in_book_order(panel.panel_wide(_profiles(spark, d)), "year")
+    """The place of every panel row in the order of the book."""
+    rows = panel.panel_years(people.with_invariants(_profiles(spark, d))).select("profile_id", "pos", "year", "source_pdf_page", "last_name", "first_name")
+    return numbered(rows, panel.book_keys(rows, "year")).select("profile_id", "year", "ordinal")
 
 
 def max_concurrency(spark, d):
@@ -56,7 +61,14 @@ def events_long(spark, d):
 
 
 def events_book_order(spark, d):
-    return panel.in_book_order(panel.events_long(_profiles(spark, d)), "start_year", "record_type")
+    """The place of every event in the order of the book."""
+    rows = panel.events_long(_profiles(spark, d))
+    return numbered(rows, panel.book_keys(rows, "start_year", "record_type")).select("profile_id", "record_type", "item_pos", "ordinal")
+
+
+def summary_book_order(spark, d):
+    rows = panel.summary(_profiles(spark, d))
+    return numbered(rows, panel.book_keys(rows)).select("profile_id", "ordinal")
 
 
 def profile_summary(spark, d):
@@ -134,7 +146,7 @@ def age(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        cap_spell, confirmed_years, span_text, balanced_panel, panel_slots_wide, panel_book_order, max_concurrency, events_long, events_book_order,
+        cap_spell, confirmed_years, span_text, balanced_panel, panel_slots_wide, panel_slots_long, panel_book_order, max_concurrency, events_long, events_book_order, summary_book_order,
         profile_summary, profile_invariants, panel_confirmed_stats, name_split, honorific_strip, name_keys, split_place, mailing_tail, infer_country,
         birth_date_format, coerce_year, ocr_normalize, pipe_join, first_filled, age,
     )
@@ -162,11 +174,19 @@ from spine left join filled f using (profile_id, year)"""
 _ROLE = "case when kind = 'deg' then coalesce(nullif(role, ''), 'study') else role end"
 _EVENT_COLUMNS = "profile_id, item_pos, last_name, first_name, scientist_name, title, star_status, primary_department, birth_year, birth_date, birth_city, birth_state, birth_country, mailing_city, mailing_state, mailing_country, source_pdf_page"
 
+_KIND_NO = "case record_type when 'Education' then 0 when 'Employment' then 1 else 2 end"
+
 ORACLE = {
     "cap_spell": f"select profile_id, pos, {_CS} as start_year, {_CT} as end_year, {_CC} as is_current from {_JOBS}",
     "confirmed_years": f"select profile_id, cast(pos as int) as pos, cast(unnest(range(a, b + 1)) as int) as year from ({sql.SPELLS}) where kind = 'prim' and a is not null",
     "span_text": f"select profile_id, pos, {sql.span_text('s', 't', 'c')} as span from {_JOBS}",
     "balanced_panel": _PANEL,
+    "panel_slots_long": f"""with slots as materialized ({sql.SLOTS}), spells as materialized ({sql.SPELLS}), firsts as (select profile_id, min(a) as a from spells group by 1)
+select profile_id, cast(y as int) as year, kind, cast(slot as int) as slot, role, inst as institution, c as is_current from slots join scientist_profiles using (profile_id) left join firsts using (profile_id) where y >= coalesce(birth_year, a)""",
+    "panel_book_order": f"""with inv as (select profile_id, pos, {sql.INVARIANTS} {_P}), panel as ({_PANEL})
+select profile_id, year, row_number() over (order by source_pdf_page nulls last, last_name nulls last, first_name nulls last, year nulls last, pos, profile_id) as ordinal from panel join inv using (profile_id)""",
+    "summary_book_order": f"""with inv as (select profile_id, pos, {sql.INVARIANTS} {_P})
+select profile_id, row_number() over (order by source_pdf_page nulls last, last_name nulls last, first_name nulls last, pos, profile_id) as ordinal from inv""",
     "max_concurrency": f"""with n as (select kind, count(*) as n from ({sql.SLOTS}) group by profile_id, kind, y)
 select k.kind, cast(greatest(coalesce(max(n), 1), 1) as int) as slots from (values ('deg'), ('prim'), ('par')) k(kind) left join n on n.kind = k.kind group by k.kind""",
     "events_long": f"""with inv as (select profile_id, {sql.INVARIANTS} {_P})
@@ -197,3 +217,5 @@ from ({sql.RECORDS}) join inv i using (profile_id)""",
     "first_filled": f"select profile_id, {sql.first_filled('birth_city', 'birth_state', 'birth_country')} as place {_P}",
     "age": "select event_id, start_year - birth_year as age from career_events_1927",
 }
+ORACLE["events_book_order"] = f"""select profile_id, record_type, item_pos, row_number() over (order by source_pdf_page nulls last, last_name nulls last, first_name nulls last, start_year nulls last, record_type nulls last, pos, profile_id, {_KIND_NO}, item_pos) as ordinal
+from ({ORACLE['events_long']}) e join (select profile_id, pos {_P}) using (profile_id)"""

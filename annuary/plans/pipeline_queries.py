@@ -146,8 +146,9 @@ def release_events(spark, d):
 
 
 def release_book_order(spark, d):
+    """The place of every released event in the order of the release."""
     events = publish.released_events(_profiles(spark, d), read_table(spark, d, "institution_locations_1927"))
-    return publish.release_order(events, "start_year", "record_type")
+    return numbered(events, publish.release_keys(events, "start_year", "record_type")).select("profile_id", "record_type", "item_pos", "institution_city", "ordinal")
 
 
 def headline_stats(spark, d):
@@ -241,6 +242,8 @@ f(i, request_no, size, cnt, file_no) as (
 select request_no, cast(file_no as bigint) as file_no from f""",
     "richness": "select profile_id, cast(coalesce(star_status, false)::int + (coalesce(birth_year, 0) <> 0)::int + " + " + ".join(f"(coalesce({c}, '') <> '')::int" for c in resolve.SCALARS) + " + " + " + ".join(f"coalesce(len({c}), 0)" for c in resolve.LISTS) + " as int) as richness from scientist_profiles",
     "release_events": _RELEASED,
+    "release_book_order": f"""select profile_id, record_type, item_pos, institution_city, row_number() over (order by source_pdf_page nulls last, nullif(last_name, '') nulls last, nullif(first_name, '') nulls last, start_year nulls last, record_type nulls last,
+ pos, profile_id, case record_type when 'Education' then 0 when 'Employment' then 1 else 2 end, item_pos) as ordinal from ({_RELEASED}) r join (select profile_id, pos from scientist_profiles) using (profile_id)""",
     "headline_stats": f"""with e as ({_RELEASED}) select 'scientists' as measure, count(*) as value from scientist_profiles union all select 'starred', cast(sum(coalesce(star_status, false)::int) as bigint) from scientist_profiles
 union all select 'events', count(*) from e union all select 'events_with_place', count(*) from e where coalesce(institution_city, institution_state_region, institution_country) is not null""",
     "stream_repage": "select focus_page_number, count(*) as n_passes, arg_max(record_id, (received_at, record_id)) as last_record from page_records where status = 'ok' group by 1",

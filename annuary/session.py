@@ -20,6 +20,7 @@ def get_spark(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 

