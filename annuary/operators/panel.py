@@ -118,7 +118,7 @@ def max_concurrency(profiles: DataFrame, edition: int = EDITION_YEAR) -> DataFra
         years = F.array_distinct(F.flatten(F.transform(F.col(kind), lambda s: F.sequence(s["a"], s["b"]))))
         return F.array_max(F.transform(years, lambda y: F.size(slots_of_year(F.col(kind), F.col(f"{kind}_repeats"), y))))
 
-    spells = profiles.select(*[spell_array(k, edition).alias(k) for k in KINDS]).select("*", *[has_repeats(F.col(k)).alias(f"{k}_repeats") for k in KINDS])
+    spells = spread(profiles).select(*[spell_array(k, edition).alias(k) for k in KINDS]).select("*", *[has_repeats(F.col(k)).alias(f"{k}_repeats") for k in KINDS])
     most = spells.agg(*[F.greatest(F.coalesce(F.max(top(k)), F.lit(1)), F.lit(1)).alias(k) for k in KINDS])
     return most.select(F.explode(F.create_map(*[x for k in KINDS for x in (F.lit(k), F.col(k))])).alias("kind", "slots"))
 

@@ -78,14 +78,16 @@ HOT_SHARE, HOT_LEAST = 1 / 1000, 10_000
 def hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The keys that hold more than HOT_SHARE of the rows: fewer than 1 / HOT_SHARE, however many rows there are."""
     counted = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return counted.where(F.col("_n") > max(HOT_LEAST, int(rows.count() * HOT_SHARE))).select(*keys)
+    total = counted.agg(F.sum("_n").alias("_total"))  # one row
+    hot = F.col("_n") > F.greatest(F.lit(HOT_LEAST), F.col("_total") * HOT_SHARE)
+    return counted.join(F.broadcast(total)).where(hot).select(*keys)
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: Column, parts: int, how: str = "inner") -> DataFrame:
     """Inner or left join on keys, where the left rows of each hot key are dealt over parts by the hash of spread_by.
 
     Only the right rows of hot keys are copied, so both sides keep their size. left should be written down
-    (cut_lineage), since it is counted first. The broadcast is the list of hot keys, which is bounded.
+    (cut_lineage), since it is read twice. The broadcast is the list of hot keys, which is bounded.
     """
     hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
     dealt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int")).otherwise(0)

@@ -31,10 +31,14 @@ def drain(result: DataFrame, keys: list[str], name: str | None = None) -> DataFr
         return spark.read.schema(schema).parquet(f"{at}/result/{batch}") if batch >= 0 else spark.createDataFrame([], schema)
 
     def store(changed: DataFrame, batch: int) -> None:
+        last = _last_batch(spark, at, batch)
+        if last < 0:
+            changed.write.mode("overwrite").parquet(f"{at}/result/{batch}")
+            return
         # Written first, so that the state is read and changed once.
         changed.write.mode("overwrite").parquet(f"{at}/changed/{batch}")
         new = spark.read.schema(schema).parquet(f"{at}/changed/{batch}")
-        old = stored(_last_batch(spark, at, batch)).join(new.select(*keys), keys, "left_anti")
+        old = stored(last).join(new.select(*keys), keys, "left_anti")
         old.unionByName(new).write.mode("overwrite").parquet(f"{at}/result/{batch}")
 
     query = result.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
