@@ -216,15 +216,17 @@ def calibrate(scores: np.ndarray, words: np.ndarray, label: np.ndarray, least: i
     """The confidence under which the labels are likeliest, when some share of them is wrong at random."""
     if len(label) < least:
         return Confidence()
-    best = None
-    for b in np.arange(0, 1.01, 0.1):
-        for a in np.arange(-2, 4.01, 0.2):
-            p = Confidence(a, b).of(scores, words)[np.arange(len(label)), label]
-            for wrong in (0.005, 0.01, 0.02, 0.04, 0.08, 0.16):
-                loss = -np.log((1 - wrong) * p + wrong / (len(LANGUAGES) - 1) * (1 - p)).mean()
-                if best is None or loss < best[0]:
-                    best = (loss, float(a), float(b))
-    return Confidence(*best[1:])
+
+    def loss(a: float, b: float) -> float:
+        p = Confidence(a, b).of(scores, words)[np.arange(len(label)), label]
+        return min(-np.log((1 - wrong) * p + wrong / (len(LANGUAGES) - 1) * (1 - p)).mean() for wrong in (0.005, 0.01, 0.02, 0.04, 0.08, 0.16))
+
+    def best(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
+        return min((loss(x, y), x, y) for x in a.tolist() for y in b.tolist())[1:]
+
+    # A wide grid first, then a narrow one around its best point.
+    a, b = best(np.arange(-2, 4.01, 0.6), np.arange(0, 1.01, 0.2))
+    return Confidence(*best(a + np.arange(-0.4, 0.41, 0.2), np.clip(b + np.array([-0.1, 0.0, 0.1]), 0, 1)))
 
 
 def labelled_share(documents: DataFrame, skip: int, take: int, inside: int = 0) -> DataFrame:

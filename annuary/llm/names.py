@@ -89,7 +89,7 @@ def selections(edits: int) -> list[tuple[int, int, int]]:
     ]
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
+def _segment(length: Column, i: Column, parts: Column) -> tuple[Column, Column]:
     """Where segment i of so many begins in a text of the given length (from 0), and how long it is."""
     begin = F.floor(i * length / parts).cast("int")
     return begin, F.floor((i + 1) * length / parts).cast("int") - begin
@@ -99,11 +99,22 @@ def _edits(length: Column) -> Column:
     return F.when(length <= 3, 0).when(length <= 5, min(1, K)).otherwise(K)
 
 
-def _pieces(text: str, rows: list[tuple[Column, Column, int, Column, Column]]) -> Column:
-    """Array of struct<length, i, segment> of the text's substrings (when, length, i, at, size) that exist."""
+def _pieces(text: str, choices: list[tuple[int, int, int, int]]) -> Column:
+    """Array of struct<length, i, segment>: of the choices (edits, longer by, segment, shift) the substrings that exist.
+
+    A choice is for texts that are shorter by so much and of a length that may have so many edits.
+    """
     c = F.col(text)
-    made = [F.when(when & (at >= 0) & (size > 0) & (at + size <= F.length(c)), F.named_struct(F.lit("length"), n.cast("int"), F.lit("i"), F.lit(i), F.lit("segment"), c.substr(at + 1, size))) for when, n, i, at, size in rows]
-    return F.array_compact(F.array(*made))
+
+    def piece(x: Column) -> Column:
+        n = F.length(c) - x["d"]
+        begin, size = _segment(n, x["i"], x["e"] + 1)
+        at = begin + x["s"]
+        exists = (n > 0) & (_edits(n) == x["e"]) & (at >= 0) & (size > 0) & (at + size <= F.length(c))
+        return F.when(exists, F.named_struct(F.lit("length"), n, F.lit("i"), x["i"], F.lit("segment"), c.substr(at + 1, size)))
+
+    fixed = F.array(*[F.named_struct(*[y for name, v in zip("edis", x, strict=True) for y in (F.lit(name), F.lit(v))]) for x in choices])
+    return F.array_compact(F.transform(fixed, piece))
 
 
 def segment_pairs(nodes: DataFrame) -> DataFrame:
@@ -111,14 +122,10 @@ def segment_pairs(nodes: DataFrame) -> DataFrame:
 
     Kinds must be equal, or one of the two a bare stem. A pair may come several times.
     """
-    full = nodes.where("not cut and initials = '' and stem <> ''").withColumn("n", F.length("stem"))
-    n = F.col("n")
-    own, wanted = [], []
-    for edits in sorted({limit_of(k) for k in range(12)}):
-        own += [(_edits(n) == edits, n, i, *_segment(n, i, edits + 1)) for i in range(edits + 1)]
-        for d, i, shift in selections(edits):
-            begin, size = _segment(n - d, i, edits + 1)
-            wanted.append((_edits(n - d) == edits, n - d, i, begin + shift, size))
+    full = nodes.where("not cut and initials = '' and stem <> ''")
+    limits = sorted({limit_of(k) for k in range(12)})
+    own = [(edits, 0, i, 0) for edits in limits for i in range(edits + 1)]
+    wanted = [(edits, *choice) for edits in limits for choice in selections(edits)]
     # A bare stem may also have lost the direction before it.
     any_head = F.when(F.col("under") == "*", F.lit("*")).otherwise(F.col("head")).alias("head")
     kinds = lambda bare, other: F.explode(F.when(F.col("kind") == "", bare).otherwise(other)).alias("under")
@@ -137,15 +144,16 @@ def beginning_pairs(nodes: DataFrame) -> DataFrame:
     looked up among the segments of all beginnings of full stems of its length, or of a whole stem one shorter.
     """
     h = lambda m: F.floor(m / 2).cast("int")
-    cut = nodes.where("cut and stem <> ''").withColumn("m", F.length("stem"))
-    m = F.col("m")
-    own = [(m <= 3, m, 0, F.lit(0), m), (m > 3, m, 0, F.lit(0), h(m)), (m > 3, m, 1, h(m), m - h(m))]
-    probe = cut.select(F.col("node").alias("x"), F.col("stem").alias("x_stem"), "shard", "head", "kind", F.explode(_pieces("stem", own)).alias("w")).select("x", "x_stem", "shard", "head", "kind", "w.*")
-    full = nodes.where("not cut and initials = '' and stem <> ''").withColumn("n", F.length("stem"))
 
     def piece(size: Column, i: int, at: Column, long: Column) -> Column:
         return F.named_struct(F.lit("length"), size, F.lit("i"), F.lit(i), F.lit("segment"), F.col("stem").substr(at + 1, long))
 
+    cut = nodes.where("cut and stem <> ''").withColumn("m", F.length("stem"))
+    m = F.col("m")
+    own = F.when(m <= 3, F.array(piece(m, 0, F.lit(0), m))).otherwise(F.array(piece(m, 0, F.lit(0), h(m)), piece(m, 1, h(m), m - h(m))))
+    probe = cut.select(F.col("node").alias("x"), F.col("stem").alias("x_stem"), "shard", "head", "kind", F.explode(own).alias("w")).select("x", "x_stem", "shard", "head", "kind", "w.*")
+    full = nodes.where("not cut and initials = '' and stem <> ''").withColumn("n", F.length("stem"))
+
     def of_length(size: Column) -> Column:
         # A whole stem one letter shorter than the cut one stands one place further left at its end.
         moved = F.when(size > F.col("n"), 1).otherwise(0)
