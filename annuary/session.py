@@ -75,11 +75,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 HOT_SHARE, HOT_LEAST = 1 / 1000, 10_000
 
 
-def hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys that hold more than HOT_SHARE of the rows: fewer than 1 / HOT_SHARE, however many rows there are."""
+def hot_keys(rows: DataFrame, keys: list[str], least: int = HOT_LEAST) -> DataFrame:
+    """The keys that hold more than HOT_SHARE of the rows (and more than least): fewer than 1 / HOT_SHARE, however many
+    rows there are, so that the list may be broadcast."""
     counted = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counted.agg(F.sum("_n").alias("_total"))  # one row
-    hot = F.col("_n") > F.greatest(F.lit(HOT_LEAST), F.col("_total") * HOT_SHARE)
+    hot = F.col("_n") > F.greatest(F.lit(least), F.col("_total") * HOT_SHARE)
     return counted.join(F.broadcast(total)).where(hot).select(*keys)
 
 
