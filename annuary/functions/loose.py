@@ -29,8 +29,8 @@ def text(v: Column) -> Column:
 
 
 def flag(v: Column) -> Column:
-    """True or false; what is neither counts as false."""
-    return F.coalesce(F.try_variant_get(v, "$", "boolean"), F.lit(False))
+    """True or false, also as text or 1 and 0; what is neither, as any other number, counts as false."""
+    return F.coalesce(text(v).try_cast("boolean"), F.lit(False))
 
 
 def year(v: Column) -> Column:
@@ -39,17 +39,20 @@ def year(v: Column) -> Column:
 
 
 def items(v: Column) -> Column:
-    """array<variant> of a list without its null entries; a single value counts as a list of one, null stays null."""
+    """array<variant> of a list without its null entries; a single value counts as a list of one.
+
+    A missing value is an empty list, a null that was written stays null.
+    """
     kind = kind_of(v)
     many = F.try_variant_get(v, "$", "array<variant>")
     kept = F.filter(many, lambda x: x.isNotNull() & ~F.is_variant_null(x))
-    return F.when(kind == "ARRAY", kept).when(v.isNotNull() & (kind != "VOID"), F.array(v))
+    return F.when(v.isNull(), F.array().cast("array<variant>")).when(kind == "ARRAY", kept).when(kind != "VOID", F.array(v))
 
 
 def records(v: Column, bare: str, fields: dict[str, Callable[[Column], Column]]) -> Column:
     """array<struct> of a list of records; an entry that is no record fills the field named by bare, as text.
 
-    Null for null. fields gives, for each field of the struct, how its value is read.
+    Empty if v is missing, null for null. fields gives, for each field of the struct, how its value is read.
     """
 
     def record(x: Column) -> Column:
@@ -64,9 +67,9 @@ def records(v: Column, bare: str, fields: dict[str, Callable[[Column], Column]])
 
 
 def texts(v: Column) -> Column:
-    """array<string> of a list of texts; of a record the values that say something, joined by '; '. Null for null.
+    """array<string> of a list of texts; of a record the values that say something, joined by '; '.
 
-    The values of a record come in the order of their names.
+    Empty if v is missing, null for null. The values of a record come in the order of their names.
     """
 
     def one(x: Column) -> Column:

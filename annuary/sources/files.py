@@ -52,12 +52,13 @@ def profiles_of(passes: DataFrame) -> DataFrame:
     """One row per profile of the passes with status ok, in the schema of scientist_profiles.
 
     Years written as text or with two digits are read, a single value in place of a list counts as one entry, a
-    text in place of a record is its title. Null entries keep their place and give no row. pass_no counts the
-    completed passes of a page from 1 in the order of their time; profile_id is made of page, pass and place, so
-    it is the same in every run. Rows without a page are left out.
+    text in place of a record is its title. A missing list is empty, one written as null is null (minor_positions
+    without entries are always null). Null entries keep their place and give no row. pass_no counts the
+    completed passes of a page from 1 in the order of their time, those without one last; profile_id is made of
+    page, pass and place, so it is the same in every run. Rows without a page are left out.
     """
     tie = F.col("record_id") if "record_id" in passes.columns else F.xxhash64(F.to_json(F.struct("scientists")))
-    order = Window.partitionBy("focus_page_number").orderBy("timestamp", "pass", tie)
+    order = Window.partitionBy("focus_page_number").orderBy(F.asc_nulls_last("timestamp"), F.asc_nulls_last("pass"), tie.asc_nulls_last())
     ok = passes.where("status = 'ok' and focus_page_number is not null").withColumn("pass_no", F.row_number().over(order))
     every = F.when(loose.kind_of(F.col("scientists")) == "ARRAY", F.try_variant_get("scientists", "$", "array<variant>")).otherwise(F.array("scientists"))
     keep = [c for c in ("record_id",) if c in passes.columns]
@@ -102,7 +103,7 @@ def numbered_pages(pages: DataFrame, first_only: int | None = None) -> DataFrame
 
 def page_attempts(passes: DataFrame, page: int) -> DataFrame:
     """All completed passes over one page, in the order of their time."""
-    return passes.where((F.col("status") == "ok") & (F.col("focus_page_number") == page)).orderBy("timestamp", "pass")
+    return passes.where((F.col("status") == "ok") & (F.col("focus_page_number") == page)).orderBy(F.asc_nulls_last("timestamp"), F.asc_nulls_last("pass"))
 
 
 def read_profiles_json(spark: SparkSession, path: str) -> DataFrame:

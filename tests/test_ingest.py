@@ -1,12 +1,15 @@
 """From a pass log to tables: loose shapes, damaged lines, order of passes."""
 
+import datetime
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from annuary import api
 from annuary.functions import loose
+from annuary.plans import catalog
 from annuary.sources import files
 
 
@@ -75,6 +78,39 @@ def test_passes_are_numbered_by_time_and_merged(spark, log):
     assert all(t.count() == 0 for t in empty.values())
 
 
+def same_as_sql(spark, folder):
+    """The rows of ingest_profiles, after they equal those of its SQL; null and '' are two values here."""
+    duckdb = pytest.importorskip("duckdb")
+    df = catalog.QUERIES["ingest_profiles"](spark, folder)
+    at = os.path.join(folder, "page_records.parquet")
+    database = duckdb.connect()
+    database.execute(f"create view page_records as select * from '{os.path.join(at, '*.parquet') if os.path.isdir(at) else at}'")
+    want = database.execute(f"select {', '.join(df.columns)} from ({catalog.ORACLE['ingest_profiles']})").fetchall()
+    got = [tuple(r) for r in df.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    return got
+
+
+def test_missing_lists_are_empty_and_written_nulls_null_as_in_sql(spark, data):
+    assert any(None in r[9:] for r in same_as_sql(spark, data))
+
+
+def test_odd_records_are_read_as_in_sql(spark, tmp_path):
+    lists = ("education", "employment", "minor_positions", "societies")
+    flags = [True, "true", "no", 1, 0, 1898, 98.5, None, [1]]
+    people = [{}, *[dict.fromkeys(lists, v) for v in (None, [], [None], "x", {"start_year": "'99"}, 7, [[]], [{}, ""])], *[{"star_status": v, "employment": [{"is_current_position": v}]} for v in flags], None, "no record"]
+    day = lambda k: datetime.datetime(2026, 1, k)
+    # One page, its passes at different times, two of them at none, or without a number.
+    passes = [(1, people, 1, day(2)), (2, [{}], 1, None), (3, [{}], None, day(2)), (4, [{}], 2, day(1)), (5, {}, 2, day(2)), (6, [{}], None, None), (7, None, 3, day(3))]
+    rows = [(k, 5, number, "ok", "live", at, json.dumps({"focus_page_number": 5, "scientists": s})) for k, s, number, at in passes]
+    schema = "record_id bigint, focus_page_number int, pass_no int, status string, via string, received_at timestamp_ntz, raw_json string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "page_records.parquet"))
+    got = same_as_sql(spark, str(tmp_path))
+    assert {r[0]: r[2] for r in got} == {4: 1, 1: 2, 5: 3, 3: 4, 2: 6, 6: 7}
+    assert {r[1]: r[9:] for r in got if r[0] == 1 and r[1] < 3} == {0: ("", "", None, ""), 1: (None, None, None, None), 2: ("", "", None, "")}
+    assert [r[6] for r in sorted(got) if r[0] == 1][9:] == [True, True, False, True, False, False, False, False, False]
+
+
 def test_text_tables_get_their_numbers_back(spark, tmp_path):
     df = spark.createDataFrame([("A, B", "20", "1"), ("C", "100", ""), ("D", "x", None)], "institution string, n_events string, star_status string")
     files.write_text_table(df, str(tmp_path / "t"))
