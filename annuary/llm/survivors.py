@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from annuary.llm import addresses
 from annuary.llm.canonical import plain_subject
 from annuary.llm.classes import components
+from annuary.llm.names import selections
 from annuary.llm.orgnames import edit_distance, fold
 from annuary.session import cut_lineage, hot_keys, salted_join
 
@@ -31,7 +32,10 @@ TRUST = ["hand", "batch", "live"]
 #: Over how many parts the copies of a row that very many rows are copies of are spread.
 SALT = 32
 #: Rows of a page from which it is crowded, be it that its number stands for many pages; a printed page has some dozens.
+#: It decides by which keys pairs are looked up, not which pairs are found.
 CROWD = 1_000
+#: Edits that two surnames may have if their rows do not share nearly all records.
+EDITS = 2
 #: Share of the smaller row's dated records that two rows of one entry have in common, at least.
 AGREEMENT = 0.5
 
@@ -144,6 +148,43 @@ def _apart() -> Column:
     return F.arrays_overlap("x_passes", "y_passes") & ~F.arrays_overlap("x_places", "y_places")
 
 
+def _surname_keys(label: str, choices: list[tuple[int, int, int]]) -> Column:
+    """Array of the label with each of the choices (longer by, segment, shift) of substrings that sur has.
+
+    Two surnames within EDITS share a key if one takes its own segments, the other its selections. Empty segments
+    of short surnames count, so that none of them is missed.
+    """
+
+    def key(x: Column) -> Column:
+        n = F.length("sur") - x["d"]
+        begin, end = (F.floor(i * n / (EDITS + 1)).cast("int") for i in (x["i"], x["i"] + 1))
+        exists = (n > 0) & (begin + x["s"] >= 0) & (end + x["s"] <= F.length("sur"))
+        return F.when(exists, F.concat(F.lit(label), F.concat_ws(":", n.cast("string"), x["i"].cast("string"), F.col("sur").substr(begin + x["s"] + 1, end - begin))))
+
+    fixed = F.array(*[F.named_struct(F.lit("d"), F.lit(d), F.lit("i"), F.lit(i), F.lit("s"), F.lit(shift)) for d, i, shift in choices])
+    return F.array_compact(F.transform(fixed, key))
+
+
+def _more(looks: bool) -> Column:
+    """What a row of a crowded page is looked up by together with a record, or held under: each of its other records,
+    its initial and, where one of two rows has no given name and they share one record only, its surname.
+
+    Of two rows that share one record the one with fewer has two at most, and neither surname is missing.
+    """
+    own, near = [(0, i, 0) for i in range(EDITS + 1)], selections(EDITS)
+    none = F.array().cast("array<string>")
+    others = F.transform(F.filter("records", lambda r: r != F.col("record")), lambda r: r.cast("string"))
+    initial = F.when(F.col("initial") != "", F.array(F.concat(F.lit("i"), F.col("initial")))).otherwise(none)
+    # e: the row that looks has no given name; f: only the one that is held.
+    if looks:
+        surname = F.when(F.col("initial") == "", _surname_keys("e", near)).otherwise(_surname_keys("f", own))
+        unnamed = (F.size("records") > 2) | (F.col("sur") == "")
+    else:
+        surname = F.concat(_surname_keys("e", own), F.when(F.col("initial") == "", _surname_keys("f", near)).otherwise(none))
+        unnamed = F.col("sur") == ""
+    return F.concat(others, initial, F.when(unnamed, none).otherwise(surname))
+
+
 def entry_pairs(nodes: DataFrame) -> DataFrame:
     """(x, y): nodes that are extractions of one entry, by their records or else by names and details.
 
@@ -157,13 +198,11 @@ def entry_pairs(nodes: DataFrame) -> DataFrame:
     m = F.size("records")
     needed = F.slice("records", 1, m - F.ceil(m * AGREEMENT).cast("int") + 1)
     crowded = F.broadcast(hot_keys(nodes, ["source_page"], CROWD).select(F.col("source_page").alias("page"), F.lit(True).alias("crowded")))
-    # On a crowded page a record is looked up together with the initial or with one more record: rows that share
-    # too little for a second record must have the same initial.
-    others = F.transform(F.filter("records", lambda r: r != F.col("record")), lambda r: r.cast("string"))
-    finer = F.explode(F.when(F.col("crowded"), F.concat(F.array(F.concat(F.lit("i"), F.col("initial"))), others)).otherwise(F.array(F.lit("")))).alias("more")
+    # Crowded pages differ in the keys only: what any pair of one entry shares, it shares under one of them.
+    finer = lambda looks: F.explode(F.when(F.col("crowded"), _more(looks)).otherwise(F.array(F.lit("")))).alias("more")
     some = nodes.where(m > 0)
-    wanted = some.select(F.col("node").alias("x"), m.alias("nx"), "initial", "records", around, needed.alias("r")).join(crowded, "page", "left").select("*", F.explode("r").alias("record")).select("x", "nx", "page", "record", finer)
-    held = some.select(F.col("node").alias("y"), m.alias("ny"), "initial", "records", F.col("source_page").alias("page")).join(crowded, "page", "left").select("*", F.explode("records").alias("record")).select("y", "ny", "page", "record", finer)
+    wanted = some.select(F.col("node").alias("x"), m.alias("nx"), "initial", "sur", "records", around, needed.alias("r")).join(crowded, "page", "left").select("*", F.explode("r").alias("record")).select("x", "nx", "page", "record", finer(True))
+    held = some.select(F.col("node").alias("y"), m.alias("ny"), "initial", "sur", "records", F.col("source_page").alias("page")).join(crowded, "page", "left").select("*", F.explode("records").alias("record")).select("y", "ny", "page", "record", finer(False))
     fewer = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
     pairs = wanted.join(held, ["page", "record", "more"]).where(fewer).select("x", "y").distinct()
     both = pairs.join(side("x", slim), "x").join(side("y", slim), "y").where(~_apart())
@@ -173,7 +212,7 @@ def entry_pairs(nodes: DataFrame) -> DataFrame:
     edits = F.levenshtein("x_sur", "y_sur")
     agree = _given_agree(F.col("x_given"), F.col("y_given"))
     nameless = (F.col("x_sur") == "") | (F.col("y_sur") == "")
-    by_records = both.where((share >= AGREEMENT) & F.when(nameless, strong).otherwise(((edits <= F.when(strong, 4).otherwise(2)) & agree) | (strong & (edits <= 2)))).select("x", "y")
+    by_records = both.where((share >= AGREEMENT) & F.when(nameless, strong).otherwise(((edits <= F.when(strong, 4).otherwise(EDITS)) & agree) | (strong & (edits <= EDITS)))).select("x", "y")
 
     ends = F.explode(F.array(F.concat(F.lit("<"), F.substring("sur", 1, 3)), F.concat(F.lit(">"), F.expr("right(sur, 3)")))).alias("end")
     named = nodes.where("sur <> ''")

@@ -352,6 +352,56 @@ def test_crowded_pages_give_the_same_groups(profiles, monkeypatch):
     assert groups() == plain and len(set(plain.values())) < len(plain)
 
 
+def record_nodes(p):
+    place = F.array(F.concat_ws(":", "pass_no", "pos")).alias("places")
+    return survivors.with_name_parts(p.select(F.col("profile_id").alias("node"), "source_page", F.array("pass_no").alias("passes"), place, survivors._records().alias("records"), *survivors._DETAILS))
+
+
+def same_entry(x, y):
+    """The rule for rows with records, by brute force; x has fewer."""
+    common = len(set(x["records"]) & set(y["records"]))
+    share = common / len(x["records"])
+    strong = share >= 0.8 and common >= 2
+    if abs(x["source_page"] - y["source_page"]) > 1 or share < 0.5:
+        return False
+    if not x["sur"] or not y["sur"]:
+        return strong
+    agree = all(a[0] == b[0] and (len(a) == 1 or len(b) == 1 or plain_distance(a, b) <= 2) for a, b in zip(x["given"], y["given"], strict=False))
+    edits = plain_distance(x["sur"], y["sur"])
+    return (agree and edits <= (4 if strong else 2)) or (strong and edits <= 2)
+
+
+def test_pairs_of_entries_whatever_the_size_of_a_page(profiles, monkeypatch):
+    rng = random.Random(7)
+    rows = []
+    for k in range(240):
+        sur = "".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6, 8])))
+        given = rng.choice(["", "", ", J(ohn)", ", J. K.", ", M(ary)"])
+        edu = [("A.B", "X", rng.randrange(1890, 1894), None), ("A.M", "X", rng.randrange(1894, 1897), None)][: rng.randrange(1, 3)]
+        emp = [job("prof", "Y", year) for year in rng.sample(range(1900, 1906), rng.randrange(4))]
+        rows.append({"full_name": (sur + given) or None, "pass_no": k, "pos": 0, "source_page": rng.randrange(1, 5), "education": edu, "employment": emp})
+    nodes = record_nodes(profiles(*rows)).persist()
+    by_fewer = sorted(nodes.collect(), key=lambda r: (len(r["records"]), r["node"]))
+    want = sorted((x["node"], y["node"]) for x, y in itertools.combinations(by_fewer, 2) if same_entry(x, y))
+    found = lambda: sorted((r["x"], r["y"]) for r in survivors.entry_pairs(nodes).collect())
+    assert found() == want
+    monkeypatch.setattr(survivors, "CROWD", 0)
+    assert found() == want
+    lone = sum((x["initial"] == "") != (y["initial"] == "") and len({*x["records"]} & {*y["records"]}) == 1 for x, y in itertools.combinations(by_fewer, 2) if same_entry(x, y))
+    assert lone > 50 and len(want) > 4 * lone
+    nodes.unpersist()
+
+
+def test_a_row_without_given_name_is_found_on_a_page_of_many_rows(spark, profiles):
+    degree = {"education": [("A.B", "X", 1900, None)]}
+    few = profiles(degree | {"full_name": "Balvomar, R(oland)"}, degree | {"full_name": "Balvomar", "pass_no": 2}, degree | {"full_name": "Blvomar", "pass_no": 3}, degree | {"full_name": "Zeta", "pass_no": 4})
+    # Other rows of the page, which alone decide whether it is crowded.
+    other = few.where("profile_id = 1").crossJoin(spark.range(10, 10 + survivors.CROWD + 1).withColumnRenamed("id", "i"))
+    other = other.withColumns({"profile_id": F.col("i"), "pos": F.col("i").cast("int"), "full_name": F.concat(F.lit("Name"), F.md5(F.col("i").cast("string")), F.lit(", Q."))}).drop("i")
+    for p in (few, few.unionByName(other)):
+        assert {r["profile_id"]: r["group_id"] for r in survivors.entry_groups(p).where("profile_id < 10").collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_name_parts_agree_with_their_columns(spark):
     names_ = ["Balvomar, Dr. R(oland) M.K.", "R. M. Smith", "Müller, J(örg)", "O'Neil,  P", "Solo", "", None, "A, b, c", "Prof. Dr. Bell", "Ryan, Mrs. (Ann) B(ea)", "  x  "]
     df = survivors.with_name_parts(spark.createDataFrame([(i, n) for i, n in enumerate(names_)], "i int, full_name string"))
